@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leakage, mixing, term_counts, token_counts
+from . import leakage, mixing, mojibake, quality, residue, term_counts, token_counts
 from .common import newest, table, written
 
 DOCUMENT_STATE = ("updated_at", "original_path", "title", "language", "thematic_domain", "word_count", "source_code")
@@ -51,6 +51,47 @@ def p4_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_totals(_tokens(spark, sf_dir), table(spark, sf_dir, "documents"), state)
 
 
+# 5 and 9: text that is no prose
+
+
+def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(table(spark, sf_dir, "documents"))
+
+
+def _unnatural(spark: SparkSession, sf_dir: str, found: DataFrame) -> DataFrame:
+    return quality.unnatural(table(spark, sf_dir, "documents")).join(found, "doc_id", "left_anti")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unnatural(spark, sf_dir, _residue(spark, sf_dir).select("doc_id")).select("doc_id").distinct()
+
+
+def p5_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.text_statistics(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _residue(spark, sf_dir).select("doc_id")
+
+
+def p9_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that remain, by source."""
+    return residue.without_residue(table(spark, sf_dir, "documents")).groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("n_chars").alias("n_chars"))
+
+
+# 6: wrong encodings
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select(F.lit("text").alias("field"), "document_id", "text")
+    titles = _newest_document(spark, sf_dir, "title").select(F.lit("title").alias("field"), "document_id", F.col("title").alias("text"))
+    return mojibake.damaged(texts.unionByName(titles))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.with_md5(_damaged(spark, sf_dir))
+
+
 # 7: evaluation passages
 
 
