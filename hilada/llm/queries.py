@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import leakage, mixing, mojibake, quality, residue, term_counts, token_counts
+from . import language, leakage, mixing, mojibake, quality, residue, term_counts, token_counts
 from .common import newest, table, written
 
 DOCUMENT_STATE = ("updated_at", "original_path", "title", "language", "thematic_domain", "word_count", "source_code")
@@ -35,6 +35,55 @@ def p2_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("term", "absolute_frequency", "document_frequency")
 
 
+# 3: languages
+
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+#: Labelled texts of each language from which the model is trained.
+SAMPLE = 400
+
+
+def _no_prose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id of the documents found by p5 or p9, as a table."""
+    documents = table(spark, sf_dir, "documents")
+    found = residue.residue(documents).select("doc_id").unionByName(quality.unnatural(documents).select("doc_id"))
+    return written(found.distinct())
+
+
+def _language_model(texts: DataFrame, pieces: str = PIECES, sample: int = SAMPLE) -> language.Model:
+    rows = language.sampled(texts, "document_id", "label", "text", sample)
+    return language.train(rows, language.public_pieces(pieces))
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest row of each harvested record: what its language shows in, its label and its path."""
+    records = table(spark, sf_dir, "remote_record").where("identifier is not null")
+    records = records.withColumn("description", F.get("descriptions", F.lit(0)))
+    return newest(records, "identifier", "oai_datestamp", "language", "title", "description", "local_path")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    no_prose = _no_prose(spark, sf_dir)
+    state = _newest_document(spark, sf_dir, "language", "original_path").withColumn("label", language.codes("language"))
+    every = table(spark, sf_dir, "documents").select("doc_id", "document_id", "text")
+    texts = every.join(no_prose, "doc_id", "left_anti").join(state.select("document_id", "label"), "document_id", "left")
+    model = _language_model(texts.where("document_id is not null"))
+
+    judged = written(language.document_languages(texts.where("document_id is not null"), model))
+    main = judged.where("segment_no = 0").select("document_id", F.col("language").alias("main"))
+    labels = state.select("document_id", "label")
+    whole = main.join(labels, "document_id", "left").where("label is null or label != main").select("document_id", F.lit(0).alias("segment_no"), F.col("main").alias("language"))
+    parts = judged.where("segment_no > 0 and running").join(main, "document_id").where("language != main").select("document_id", "segment_no", "language")
+    of_documents = whole.unionByName(parts).select(F.lit("document").alias("record_type"), F.col("document_id").alias("record_key"), "segment_no", "language")
+
+    linked = every.join(no_prose, "doc_id", "left_semi").join(state.where("original_path is not null"), "document_id").select(F.col("original_path").alias("local_path")).distinct()
+    records = _records(spark, sf_dir).where("title is not null and trim(title) != ''").join(linked, "local_path", "left_anti")
+    records = records.withColumn("label", language.codes("language")).withColumn("text", F.concat_ws(" . ", "title", "description"))
+    shown = language.record_languages(records.select("identifier", "text", F.col("label")), model)
+    wrong = shown.join(records.select("identifier", "label"), "identifier").where("label is null or label != language")
+    of_records = wrong.select(F.lit("remote").alias("record_type"), F.col("identifier").alias("record_key"), F.lit(0).alias("segment_no"), "language")
+    return of_documents.unionByName(of_records).distinct()
+
+
 # 4: tokens
 
 
