@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, leakage, mixing, mojibake, quality, residue, term_counts, token_counts
+from . import language, leakage, mixing, mojibake, quality, residue, subjects, term_counts, token_counts
 from .common import newest, table, written
 
 DOCUMENT_STATE = ("updated_at", "original_path", "title", "language", "thematic_domain", "word_count", "source_code")
@@ -17,6 +17,38 @@ def _newest_document(spark: SparkSession, sf_dir: str, *columns: str) -> DataFra
     return newest(table(spark, sf_dir, "document"), "document_id", "updated_at", *columns)
 
 
+# 1: subject areas
+
+#: Share of what is specific from which an area counts; specific words in a code point from which a text treats any area.
+AREA_SHARE, AREA_DENSITY = 0.2, 0.004
+
+
+def _subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Mixtures of the documents that are prose, areas that their records name, and the names of the areas."""
+    no_prose = _no_prose(spark, sf_dir)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "document_id", "lang", "text").join(no_prose, "doc_id", "left_anti")
+    areas = table(spark, sf_dir, "subject_area").where("area is not null")
+    records = newest(table(spark, sf_dir, "remote_record").where("identifier is not null"), "identifier", "oai_datestamp", "subjects", "local_path")
+    records = written(records.where("subjects is not null and size(subjects) > 0").select("subjects", "local_path"))
+    meaning = written(subjects.subject_areas(records, areas))
+    paths = _newest_document(spark, sf_dir, "original_path").where("original_path is not null").select("document_id", F.col("original_path").alias("local_path"))
+    named = subjects.named_subjects(records.where("local_path is not null")).join(meaning, "subject").join(paths, "local_path")
+    named = written(named.join(documents.select("doc_id", "document_id"), "document_id").groupBy("doc_id", "area").agg(F.lit(1.0).alias("weight")))
+    by_hand = table(spark, sf_dir, "subject_label").where("doc_id is not null and area is not null").select("doc_id", "area", F.lit(2.0).alias("weight")).distinct()
+    rows = [(r.area, r.area_name or "", r.description or "") for r in areas.select("area", "area_name", "description").orderBy("area").collect()]
+    return subjects.subject_mixtures(documents, rows, named.unionByName(by_hand)), named, [r[0] for r in rows]
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixtures, named, names = _subjects(spark, sf_dir)
+    mixtures = written(mixtures)
+    treats = F.col("specific") >= AREA_DENSITY * F.col("length")
+    each = mixtures.where(treats & (F.col("specific") > 0)).select("doc_id", F.posexplode("shares").alias("i", "share"))
+    treated = each.where(F.col("share") >= AREA_SHARE).select("doc_id", F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1).alias("area"))
+    others = mixtures.where(~treats | (F.col("specific") <= 0)).select("doc_id").join(named, "doc_id").select("doc_id", "area")
+    return treated.unionByName(others).distinct()
+
+
 # 2: frequency of every distinct word
 
 
@@ -177,5 +209,14 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.join(whole, "mix_id").select("mix_id", "source_code", "target_share", "taken_tokens", F.coalesce(F.try_divide("taken_tokens", "all_tokens"), F.lit(0.0)).alias("reached_share"))
 
 
+def p1_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the corpus consists of: by source and area, the documents and the code points of their parts."""
+    mixtures, _, names = _subjects(spark, sf_dir)
+    treated = mixtures.where((F.col("specific") > 0) & (F.col("specific") >= AREA_DENSITY * F.col("length")))
+    each = treated.select("doc_id", "length", F.posexplode("shares").alias("i", "share")).withColumn("area", F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1))
+    placed = each.where(F.col("share") >= AREA_SHARE).join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    return placed.groupBy("source", "area").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.col("share") * F.col("length")).alias("code_points"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
