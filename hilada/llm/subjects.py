@@ -292,14 +292,14 @@ def mixtures(rows: DataFrame, factors: Factors, steps: int = 25) -> DataFrame:
     return arrow_pass(rows.select("doc_id", "length", "terms", "counts"), "doc_id long, shares array<double>, specific double, length long", start)
 
 
-def subject_mixtures(documents: DataFrame, areas: list[tuple[str, str, str]], known: DataFrame, rounds: int = 3, least_share: float = 0.0003) -> DataFrame:
+def subject_mixtures(documents: DataFrame, areas: list[tuple[str, str, str]], known: DataFrame, rounds: int = 3, least_share: float = 0.0003, most_share: float = 0.15) -> DataFrame:
     """mixtures() of documents (doc_id, lang, text), learned over all of them.
 
     areas: (area, area_name, description). known: rows (doc_id, area, weight) of what labels and records say of some documents.
     Null and empty texts have nothing specific. Documents without known areas are factorized as well.
     """
     names = [a for a, _, _ in areas]
-    words = vocabulary(documents, least_share)
+    words = vocabulary(documents, least_share, most_share)
     at = {w: i for i, w in enumerate(words)}
     whole = written(matrix(documents, words))
     by_doc = known.where(F.col("area").isin(*names)).groupBy("doc_id").agg(F.array(*(F.sum(F.when(F.col("area") == n, F.col("weight")).otherwise(0.0)) for n in names)).alias("known"))
