@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_pass, written
+from .mojibake import BAD, CORE
 
 WORD = re.compile(r"[^\W\d_]{3,}")
 HYPHEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n\s*(?=[^\W\d_])")
@@ -27,12 +28,15 @@ EPSILON = 1e-9
 
 
 def terms(text: str) -> list[str]:
+    """Words of three letters or more, in NFC and lower case; words with damaged letters say nothing and are left out."""
+    if not text.isascii() and BAD.search(text):
+        text = CORE.sub(lambda m: " " if BAD.search(m[0]) else m[0], text)
     if "-" in text:
         text = HYPHEN.sub("", text)
     return WORD.findall((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
 
 
-def vocabulary(documents: DataFrame, least_share: float = 0.0003, most_share: float = 0.15, least: int = 3, bound: int = 200_000) -> list[str]:
+def vocabulary(documents: DataFrame, least_share: float = 0.0003, most_share: float = 0.35, least: int = 3, bound: int = 200_000) -> list[str]:
     """Terms in at least least_share of the texts (and `least` of them) and at most in most_share.
 
     As a text has some hundred distinct terms, a least share bounds their number whatever the corpus' size; `bound` is checked.
@@ -216,7 +220,7 @@ def anchored(sums: np.ndarray, k_areas: int, described: dict[int, set[int]], lif
     area, usage = sums[:k_areas], sums[k_areas:]
     whole = usage.sum(axis=0)
     expected = whole * (area.sum(axis=1, keepdims=True) / max(whole.sum(), 1.0))
-    rate = (area + 0.1) / (expected + 0.1 + np.sqrt(expected + 0.1))  # a few chance occurrences raise no rate
+    rate = (area + 0.1) / (expected + 0.1 + 2 * np.sqrt(expected + 0.1))  # a few chance occurrences raise no rate
     share = area / np.maximum(area.sum(axis=0), EPSILON)
     own = (rate >= lift) & (share >= 0.3)
     for i, found in described.items():
@@ -292,7 +296,7 @@ def mixtures(rows: DataFrame, factors: Factors, steps: int = 25) -> DataFrame:
     return arrow_pass(rows.select("doc_id", "length", "terms", "counts"), "doc_id long, shares array<double>, specific double, length long", start)
 
 
-def subject_mixtures(documents: DataFrame, areas: list[tuple[str, str, str]], known: DataFrame, rounds: int = 3, least_share: float = 0.0003, most_share: float = 0.15) -> DataFrame:
+def subject_mixtures(documents: DataFrame, areas: list[tuple[str, str, str]], known: DataFrame, rounds: int = 3, least_share: float = 0.0003, most_share: float = 0.35) -> DataFrame:
     """mixtures() of documents (doc_id, lang, text), learned over all of them.
 
     areas: (area, area_name, description). known: rows (doc_id, area, weight) of what labels and records say of some documents.
