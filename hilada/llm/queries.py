@@ -108,7 +108,9 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     of_documents = whole.unionByName(parts).select(F.lit("document").alias("record_type"), F.col("document_id").alias("record_key"), "segment_no", "language")
 
     linked = every.join(no_prose, "doc_id", "left_semi").join(state.where("original_path is not null"), "document_id").select(F.col("original_path").alias("local_path")).distinct()
-    records = _records(spark, sf_dir).where("title is not null and trim(title) != ''").join(linked, "local_path", "left_anti")
+    records = _records(spark, sf_dir).where("title is not null and trim(title) != ''")
+    records = records.withColumn("local_path", F.coalesce("local_path", F.concat(F.lit("no path of "), "identifier")))  # else all records without a path meet in one task
+    records = records.join(linked, "local_path", "left_anti")
     records = records.withColumn("label", language.codes("language")).withColumn("text", F.concat_ws(" . ", "title", "description"))
     shown = language.record_languages(records.select("identifier", "text", F.col("label")), model)
     wrong = shown.join(records.select("identifier", "label"), "identifier").where("label is null or label != language")
