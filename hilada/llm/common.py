@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, enough: int = 32 * 1024 * 1024) -> DataFrame:
+    """A small df over all cores where it has fewer files than those, as a file with one row group is read by one task.
+
+    Inputs of `enough` bytes for each core are left as they are; their files aren't even listed.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if size >= enough * cores or len(df.inputFiles()) >= cores else df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by spark.checkpoint.dir; a folder of its own only where that is unset."""
     where = spark.conf.get("spark.checkpoint.dir", None)

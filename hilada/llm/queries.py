@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, leakage, mixing, mojibake, quality, residue, subjects, term_counts, token_counts
-from .common import newest, table, written
+from . import language, leakage, mixing, mojibake, quality, residue, sql, subjects, term_counts, token_counts
+from .common import newest, spread, table, written
 
-DOCUMENT_STATE = ("updated_at", "original_path", "title", "language", "thematic_domain", "word_count", "source_code")
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def _newest_document(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -26,7 +27,7 @@ AREA_SHARE, AREA_DENSITY = 0.2, 0.004
 def _subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
     """Mixtures of the documents that are prose, areas that their records name, and the names of the areas."""
     no_prose = _no_prose(spark, sf_dir)
-    documents = table(spark, sf_dir, "documents").select("doc_id", "document_id", "lang", "text").join(no_prose, "doc_id", "left_anti")
+    documents = _documents(spark, sf_dir).select("doc_id", "document_id", "lang", "text").join(no_prose, "doc_id", "left_anti")
     areas = table(spark, sf_dir, "subject_area").where("area is not null")
     records = newest(table(spark, sf_dir, "remote_record").where("identifier is not null"), "identifier", "oai_datestamp", "subjects", "local_path")
     records = written(records.where("subjects is not null and size(subjects) > 0").select("subjects", "local_path"))
@@ -53,17 +54,17 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return term_counts.marks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "lexical_frequency"))
+    return term_counts.marks(_documents(spark, sf_dir), table(spark, sf_dir, "lexical_frequency"))
 
 
 def p2_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = term_counts.term_counts(table(spark, sf_dir, "documents"), "text")
+    counts = term_counts.term_counts(_documents(spark, sf_dir), "text")
     return counts.select(F.col("term").alias("word"), "absolute_frequency", "document_frequency")
 
 
 def p2_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run of up to three words that at least 50 documents have."""
-    counts = term_counts.term_counts(table(spark, sf_dir, "documents"), "text", length=3).where("document_frequency >= 50")
+    counts = term_counts.term_counts(_documents(spark, sf_dir), "text", length=3).where("document_frequency >= 50")
     return counts.select("term", "absolute_frequency", "document_frequency")
 
 
@@ -76,7 +77,7 @@ SAMPLE = 400
 
 def _no_prose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id of the documents found by p5 or p9, as a table."""
-    documents = table(spark, sf_dir, "documents")
+    documents = _documents(spark, sf_dir)
     found = residue.residue(documents).select("doc_id").unionByName(quality.unnatural(documents).select("doc_id"))
     return written(found.distinct())
 
@@ -96,7 +97,7 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     no_prose = _no_prose(spark, sf_dir)
     state = _newest_document(spark, sf_dir, "language", "original_path").withColumn("label", language.codes("language"))
-    every = table(spark, sf_dir, "documents").select("doc_id", "document_id", "text")
+    every = _documents(spark, sf_dir).select("doc_id", "document_id", "text")
     texts = every.join(no_prose, "doc_id", "left_anti").join(state.select("document_id", "label"), "document_id", "left")
     model = _language_model(texts.where("document_id is not null"))
 
@@ -122,7 +123,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "token_vocabulary"))
+    return token_counts.token_counts(_documents(spark, sf_dir), table(spark, sf_dir, "token_vocabulary"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,18 +132,18 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _newest_document(spark, sf_dir, "thematic_domain")
-    return token_counts.token_totals(_tokens(spark, sf_dir), table(spark, sf_dir, "documents"), state)
+    return token_counts.token_totals(_tokens(spark, sf_dir), _documents(spark, sf_dir), state)
 
 
 # 5 and 9: text that is no prose
 
 
 def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return residue.residue(table(spark, sf_dir, "documents"))
+    return residue.residue(_documents(spark, sf_dir))
 
 
 def _unnatural(spark: SparkSession, sf_dir: str, found: DataFrame) -> DataFrame:
-    return quality.unnatural(table(spark, sf_dir, "documents")).join(found, "doc_id", "left_anti")
+    return quality.unnatural(_documents(spark, sf_dir)).join(found, "doc_id", "left_anti")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +151,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.text_statistics(table(spark, sf_dir, "documents"))
+    return quality.text_statistics(_documents(spark, sf_dir))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,14 +160,14 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p9_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that remain, by source."""
-    return residue.without_residue(table(spark, sf_dir, "documents")).groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("n_chars").alias("n_chars"))
+    return residue.without_residue(_documents(spark, sf_dir)).groupBy("source").agg(F.count(F.lit(1)).alias("n_documents"), F.sum("n_chars").alias("n_chars"))
 
 
 # 6: wrong encodings
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = table(spark, sf_dir, "documents").select(F.lit("text").alias("field"), "document_id", "text")
+    texts = _documents(spark, sf_dir).select(F.lit("text").alias("field"), "document_id", "text")
     titles = _newest_document(spark, sf_dir, "title").select(F.lit("title").alias("field"), "document_id", F.col("title").alias("text"))
     return mojibake.damaged(texts.unionByName(titles))
 
@@ -179,11 +180,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.leaks(table(spark, sf_dir, "evaluation_item"), table(spark, sf_dir, "documents")).select("item_id", "doc_id").distinct()
+    return leakage.leaks(table(spark, sf_dir, "evaluation_item"), _documents(spark, sf_dir)).select("item_id", "doc_id").distinct()
 
 
 def p7_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = leakage.without_leaks(table(spark, sf_dir, "evaluation_item"), table(spark, sf_dir, "documents"))
+    cleaned = leakage.without_leaks(table(spark, sf_dir, "evaluation_item"), _documents(spark, sf_dir))
     return cleaned.select("doc_id", F.length("text").cast("long").alias("n_chars"))
 
 
@@ -192,8 +193,9 @@ def p7_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document with its place in the tree of domains, languages and sources."""
-    placed = table(spark, sf_dir, "documents").select("doc_id", "source", F.col("lang").alias("language"), F.lit(None).cast("string").alias("domain"))
-    return _tokens(spark, sf_dir).join(placed, "doc_id")
+    domains = _newest_document(spark, sf_dir, "thematic_domain").select("document_id", F.lower(F.trim("thematic_domain")).alias("domain"))
+    placed = _documents(spark, sf_dir).select("doc_id", "document_id", "source", F.col("lang").alias("language")).join(domains, "document_id", "left")
+    return _tokens(spark, sf_dir).join(placed.drop("document_id"), "doc_id")
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,9 +218,13 @@ def p1_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixtures, _, names = _subjects(spark, sf_dir)
     treated = mixtures.where((F.col("specific") > 0) & (F.col("specific") >= AREA_DENSITY * F.col("length")))
     each = treated.select("doc_id", "length", F.posexplode("shares").alias("i", "share")).withColumn("area", F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1))
-    placed = each.where(F.col("share") >= AREA_SHARE).join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    placed = each.where(F.col("share") >= AREA_SHARE).join(_documents(spark, sf_dir).select("doc_id", "source"), "doc_id")
     return placed.groupBy("source", "area").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.col("share") * F.col("length")).alias("code_points"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1].isdigit()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(sql.SQL)
