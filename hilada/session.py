@@ -15,10 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, factor: int = 1) -> DataFrame:
-    """df over all cores where its files are fewer than those, as a file with one row group is read by one task.
+def spread(df: DataFrame, factor: int = 1, enough: int = 32 * 1024 * 1024) -> DataFrame:
+    """A small df over all cores where it has fewer files than those, as a file with one row group is read by one task.
 
-    Costs a shuffle of the columns in use, so it belongs before work that is heavier than that; enough files make it a no-op.
+    Costs a shuffle of the columns in use, so it belongs before work that is heavier than that. Inputs of `enough` bytes for each
+    core are left as they are; their files aren't even listed.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores * factor)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if size >= enough * cores or len(df.inputFiles()) >= cores else df.repartition(cores * factor)
