@@ -41,8 +41,11 @@ CONTROL = "[\\u0000-\\u0008\\u000b\\u000c\\u000e-\\u001f\\u007f]"
 PAGE_MARK = f"(?iu)\\[\\[PÁGINA[{WS}]+\\p{{Nd}}+\\]\\]"
 
 
+BLANKS = "".join(chr(i) for a, b in SPACES for i in range(a, b + 1))
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def lines(c: Column) -> Column:

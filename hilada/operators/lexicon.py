@@ -15,16 +15,18 @@ CUTOFFS = (10, 50, 100, 128, 512, 1024, 5000, 10_000, 25_000, 50_000, 65_000)
 ALL = "completo"
 
 
-def frequencies(documents: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:
+def frequencies(documents: DataFrame, source: str = "source") -> DataFrame:
     """Rows (source, word, frequency, document_frequency).
 
-    Two aggregates: by document and word, where each task combines its own tokens before anything is shuffled, then by source
-    and word. Null texts have no words; a null source is kept apart.
+    One shuffle: in a text's sorted words the first of equal ones is marked, so occurrences and documents are counted by one
+    aggregate, which tasks combine before anything is sent. Null texts have no words; a null source is kept apart.
     """
-    rows = spread(documents.select(key, F.col(source).alias("source"), "text"))
-    words = rows.select(key, "source", F.explode(T.lexical_tokens(F.col("text"))).alias("word"))
-    by_document = words.groupBy(key, "source", "word").agg(F.count(F.lit(1)).alias("n"))
-    return by_document.groupBy("source", "word").agg(F.sum("n").alias("frequency"), F.count(F.lit(1)).alias("document_frequency"))
+    rows = spread(documents.select(F.col(source).alias("source"), "text"))
+    words = F.array_sort(T.lexical_tokens(F.col("text")))
+    rows = rows.select("source", words.alias("ws"))  # no filter on ws: it would be made below the shuffle, a second time
+    marked = F.transform("ws", lambda w, i: F.struct(w.alias("word"), F.coalesce(F.get("ws", i - 1) != w, F.lit(True)).alias("first")))
+    each = rows.select("source", F.inline(marked))
+    return each.groupBy("source", "word").agg(F.count(F.lit(1)).alias("frequency"), F.count_if("first").alias("document_frequency"))
 
 
 def merged(by_source: DataFrame) -> DataFrame:

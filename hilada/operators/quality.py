@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -80,58 +80,58 @@ def measures(df: DataFrame, text: str = "text", long_line: int = BASE["long_line
     )
 
 
-def anomalies(df: DataFrame, name: str = "default") -> DataFrame:
-    """Adds, to rows with measures, the anomalies of a profile in fixed order: structs of code, severity, count and ratio."""
-    p = profile(name)
-    limit = p["thresholds"]
-    none = F.lit(None).cast("double")
-    rules = {
-        "replacement_characters": ("replacement_character_count", 0, none), "null_characters": ("null_character_count", 0, none), "control_characters": ("control_character_count", 0, none),
-        "page_markers": ("page_marker_count", 0, none), "excessive_symbols": ("symbol_ratio", limit["symbol_ratio"], F.col("symbol_ratio")),
-        "repeated_lines": ("repeated_line_ratio", limit["repeated_line_ratio"], F.col("repeated_line_ratio")), "numeric_lines": ("numeric_line_ratio", limit["numeric_line_ratio"], F.col("numeric_line_ratio")),
-        "uppercase_lines": ("uppercase_line_ratio", limit["uppercase_line_ratio"], F.col("uppercase_line_ratio")), "hyphenated_line_breaks": ("hyphenated_line_break_count", limit["hyphenated"], none),
-        "excessive_short_lines": ("short_line_ratio", limit["short_line_ratio"], F.col("short_line_ratio")), "long_lines": ("long_line_count", 0, none),
-    }
+#: Each rule's measure and threshold; None stands for any occurrence.
+RULES = {
+    "replacement_characters": ("replacement_character_count", None), "null_characters": ("null_character_count", None), "control_characters": ("control_character_count", None), "page_markers": ("page_marker_count", None),
+    "excessive_symbols": ("symbol_ratio", "symbol_ratio"), "repeated_lines": ("repeated_line_ratio", "repeated_line_ratio"), "numeric_lines": ("numeric_line_ratio", "numeric_line_ratio"),
+    "uppercase_lines": ("uppercase_line_ratio", "uppercase_line_ratio"), "hyphenated_line_breaks": ("hyphenated_line_break_count", "hyphenated"), "excessive_short_lines": ("short_line_ratio", "short_line_ratio"), "long_lines": ("long_line_count", None),
+}
+_RULE_SCHEMA = "profile string, thresholds map<string,double>, disabled array<string>, severities map<string,string>, penalties map<string,int>"
+
+
+def profiles_table(spark: SparkSession, names: list[str]) -> DataFrame:
+    """The named profiles, one row each."""
+    rows = []
+    for name in names:
+        p = profile(name)
+        rows.append((name, {k: float(v) for k, v in p["thresholds"].items()}, p["disabled"], p["severities"], p["penalties"]))
+    return spark.createDataFrame(rows, _RULE_SCHEMA)
+
+
+def anomalies(df: DataFrame) -> DataFrame:
+    """Adds, to rows with measures and the columns of a profile, its anomalies in fixed order: structs of code, severity, count and ratio."""
     found = []
-    for code, (measure, most, share) in rules.items():
-        if code not in p["disabled"]:
-            count = F.col(measure).cast("long") if measure.endswith("count") else F.lit(None).cast("long")
-            found.append(F.when(F.col(measure) > most, F.struct(F.lit(code).alias("code"), F.lit(p["severities"][code]).alias("severity"), count.alias("count"), share.alias("ratio"))))
+    for code, (measure, threshold) in RULES.items():
+        counted = measure.endswith("count")
+        most = F.element_at("thresholds", threshold) if threshold else F.lit(0.0)
+        count = F.col(measure) if counted else F.lit(None).cast("long")
+        share = F.lit(None).cast("double") if counted else F.col(measure)
+        broken = (F.col(measure) > most) & ~F.array_contains("disabled", code)
+        found.append(F.when(broken, F.struct(F.lit(code).alias("code"), F.element_at("severities", F.lit(code)).alias("severity"), count.alias("count"), share.alias("ratio"))))
     return df.withColumn("anomalies", F.filter(F.array(*found), lambda a: a.isNotNull()))
 
 
-def scores(df: DataFrame, name: str = "default") -> DataFrame:
+def scores(df: DataFrame) -> DataFrame:
     """Adds, to rows with anomalies: errors, warnings and the score, from which each anomaly takes its penalty, within 0 and 100.
 
     Texts below the profile's least words or characters have an error more, without a penalty.
     """
-    p = profile(name)
-    limit = p["thresholds"]
-    penalty = F.create_map(*[F.lit(x) for pair in p["penalties"].items() for x in pair])
-    lost = F.aggregate("anomalies", F.lit(0), lambda acc, a: acc + F.coalesce(F.element_at(penalty, a["code"]), F.lit(0)))
-    few = F.filter(F.array(F.when(F.col("word_count") < limit["minimum_words"], F.lit("few_words")), F.when(F.col("character_count") < limit["minimum_characters"], F.lit("few_characters"))), lambda x: x.isNotNull())
+    limit = lambda name: F.element_at("thresholds", F.lit(name))
+    lost = F.aggregate("anomalies", F.lit(0), lambda acc, a: acc + F.coalesce(F.element_at("penalties", a["code"]), F.lit(0)))
+    few = F.filter(F.array(F.when(F.col("word_count") < limit("minimum_words"), F.lit("few_words")), F.when(F.col("character_count") < limit("minimum_characters"), F.lit("few_characters"))), lambda x: x.isNotNull())
     of = lambda severity: F.transform(F.filter("anomalies", lambda a: a["severity"] == severity), lambda a: a["code"])
-    return df.withColumns({"score": F.greatest(F.lit(0), F.least(F.lit(100), F.lit(limit["initial"]) - lost)).cast("long"), "errors": F.concat(of("ERROR"), few), "warnings": of("WARNING")})
+    return df.withColumns({"score": F.greatest(F.lit(0), F.least(F.lit(100), limit("initial") - lost)).cast("long"), "errors": F.concat(of("ERROR"), few), "warnings": of("WARNING")})
 
 
 def by_profile(df: DataFrame, document_type: str = "document_type") -> DataFrame:
     """measures, anomalies and scores of each row under the profile of its document type.
 
-    Measures are made once; a profile's rules are one expression each, chosen by the type, so no rows are split or joined.
+    The profiles are a broadcast table of a few rows; rules are one set of expressions whatever their number.
     """
-    used = sorted({*PROFILE_OF.values(), "default"})
     of = F.create_map(*[F.lit(x) for pair in PROFILE_OF.items() for x in pair])
-    out = measures(df).withColumn("profile", F.coalesce(F.element_at(of, F.col(document_type)), F.lit("default")))
-    judged: dict[str, Column] = {}
-    for name in used:
-        part = scores(anomalies(out, name), name)
-        out = part.withColumns({f"_{c}_{name}": F.col(c) for c in ("anomalies", "score", "errors", "warnings")}).drop("anomalies", "score", "errors", "warnings")
-    for c in ("anomalies", "score", "errors", "warnings"):
-        chosen = F.lit(None)
-        for name in used:
-            chosen = F.when(F.col("profile") == name, F.col(f"_{c}_{name}")).otherwise(chosen)
-        judged[c] = chosen
-    return out.withColumns(judged).drop(*(f"_{c}_{name}" for name in used for c in judged))
+    measured = measures(df).withColumn("profile", F.coalesce(F.element_at(of, F.col(document_type)), F.lit("default")))
+    known = profiles_table(df.sparkSession, sorted({*PROFILE_OF.values(), "default"}))
+    return scores(anomalies(measured.join(F.broadcast(known), "profile"))).drop("thresholds", "disabled", "severities", "penalties")
 
 
 def repeated_lines(documents: DataFrame, key: str = "doc_id", least: int = 3, length: int = 5) -> DataFrame:

@@ -421,7 +421,7 @@ j AS (SELECT raw.file, CASE WHEN h.n = 1 THEN h.document END AS d1, CASE WHEN h.
 SELECT file, coalesce(d1, d2) AS document, CASE WHEN st = 'MATCHED' THEN st WHEN d2 IS NOT NULL THEN 'RECOVERED' ELSE st END AS status FROM j""")
 def mapping_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files whose texts differ in case or line ends from the extracted ones, mapped by hash and then by likeness."""
-    documents = _documents(spark, sf_dir)
+    documents = spread(_documents(spark, sf_dir).select("doc_id", "document_id", "text"))
     text = F.when(F.col("doc_id") % 3 == 0, F.upper("text")).when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit("\n\n"))).otherwise(F.col("text"))
     raw, extracted = documents.select(F.concat(F.lit("f"), "doc_id").alias("file"), text.alias("text")), documents.select(F.col("document_id").alias("document"), "text")
     return recovery.merged_mapping(recovery.by_hash(raw, extracted), recovery.by_likeness(raw, extracted))
