@@ -131,3 +131,27 @@ def status_counts(df: DataFrame, source: str, status: str, values: list[str]) ->
 
 def histogram(df: DataFrame, column: str, empty: str = "(vacío)") -> DataFrame:
     return df.groupBy(F.coalesce(column, F.lit(empty)).alias(column)).agg(F.count(F.lit(1)).alias("n"))
+
+
+def audited(documents: DataFrame, audits: DataFrame, least_score: int, version: str | None = None) -> DataFrame:
+    """Documents whose latest audit approved them with at least the score, with that score."""
+    last = latest_audits(audits, version).where(F.col("approved") & (F.col("editorial_score") >= least_score))
+    return documents.join(last.select("document_id", "editorial_score"), "document_id")
+
+
+def resolved_paths(documents: DataFrame, existing: DataFrame) -> DataFrame:
+    """Rows (document_id, path): the first of canonical_path, the path made of source and id, and original_path that exists.
+
+    existing: the paths there are. One join whatever the number of ways; path is null where none exists.
+    """
+    made = F.concat(F.lit("data/canonical/"), "source_code", F.lit("/"), "document_id", F.lit(".txt"))
+    ways = F.array(F.col("canonical_path"), made, F.col("original_path"))
+    each = documents.select("document_id", F.posexplode(ways).alias("way", "path")).join(existing.select("path", F.lit(True).alias("found")).distinct(), "path", "left")
+    best = F.min(F.when(F.col("found"), F.struct("way", "path"))).alias("best")
+    return each.groupBy("document_id").agg(best).select("document_id", F.col("best.path").alias("path"))
+
+
+def most_common(df: DataFrame, column: str, most: int) -> DataFrame:
+    """The most frequent elements of an array column, ties by value."""
+    each = df.select(F.explode(column).alias("value"))
+    return each.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(most)

@@ -22,6 +22,11 @@ def is_article(kind: Column) -> Column:
     return F.coalesce(F.contains(plain, F.lit("article")) | F.contains(plain, F.lit("artículo")) | F.contains(plain, F.lit("articulo")), F.lit(True))
 
 
+def _holds(part: str):
+    """A predicate of one argument (a second would be taken for the position)."""
+    return lambda c: F.contains(F.lower(c), F.lit(part))
+
+
 def web_addresses(identifiers: Column) -> Column:
     return F.filter(identifiers, lambda i: i.rlike("^https?://"))
 
@@ -34,7 +39,7 @@ def pdf_address(identifiers: Column) -> Column:
 def article_address(identifiers: Column, preferred: tuple[str, ...] = ("sci_arttext", "/art/")) -> Column:
     """The first web address with the first preferred part that any has; else the first."""
     every = web_addresses(identifiers)
-    best = [F.get(F.filter(every, lambda i, p=p: F.contains(F.lower(i), F.lit(p))), F.lit(0)) for p in preferred]
+    best = [F.get(F.filter(every, _holds(p)), F.lit(0)) for p in preferred]
     return F.coalesce(*best, F.get(every, F.lit(0)))
 
 
@@ -119,7 +124,8 @@ def script_sources(html: Column, domain: str, excluded: tuple[str, ...] = ()) ->
     whole = F.transform(found, lambda s: F.when(s.rlike("^https?://"), s).when(s.startswith("//"), F.concat(F.lit("https:"), s)).otherwise(F.concat(F.lit(f"https://{domain}/"), F.regexp_replace(s, "^/+", ""))))
     kept = F.filter(whole, lambda s: F.contains(s, F.lit(domain)))
     for part in excluded:
-        kept = F.filter(kept, lambda s, part=part: ~F.contains(s, F.lit(part)))
+        holds = _holds(part)
+        kept = F.filter(kept, lambda s: ~holds(s))  # noqa: B023
     return kept
 
 

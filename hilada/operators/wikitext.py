@@ -168,3 +168,30 @@ def scanned(pages: DataFrame) -> DataFrame:
     judged = pages.withColumn("outcome", early)
     rest = judged.where("outcome is null").withColumn("c", cleaned("text")).select(*pages.columns, F.when(F.col("c.text") == "", "empty").otherwise("article").alias("outcome"), F.col("c.text").alias("plain"), F.col("c.reduction_ratio").alias("reduction_ratio"))
     return judged.where("outcome is not null").withColumn("plain", F.lit(None).cast("string")).withColumn("reduction_ratio", F.lit(None).cast("double")).unionByName(rest)
+
+
+def countries_mentioned(names: Column) -> Column:
+    """Codes of the countries whose name stands anywhere in a category, sorted."""
+    holds = lambda part: lambda n: F.contains(F.lower(n), F.lit(part))
+    found = [F.when(F.exists(names, holds(k)), F.lit(code)) for k, code in COUNTRIES.items()]
+    return F.array_sort(F.array_distinct(F.filter(F.array(*found), lambda x: x.isNotNull())))
+
+
+def outcomes(scan: DataFrame) -> DataFrame:
+    """Of scanned pages: by outcome, their number and the lengths and reductions of their texts."""
+    n = F.length("text")
+    whole = F.try_divide(F.sum(n - F.length("plain")).cast("double"), F.sum(F.when(F.col("plain").isNotNull(), n)))
+    return scan.groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("pages"), F.min(n).alias("shortest"), F.max(n).alias("longest"), F.avg(n).alias("average"),
+        whole.alias("reduction"), F.min("reduction_ratio").alias("least_reduction"), F.max("reduction_ratio").alias("greatest_reduction"),
+    )
+
+
+def namespaces(pages: DataFrame) -> DataFrame:
+    return pages.groupBy("ns").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("redirect").isNotNull() | is_redirect(F.col("text"))).alias("redirects"))
+
+
+def top_categories(pages: DataFrame, most: int = 100) -> DataFrame:
+    """The most frequent categories, ties by name."""
+    each = pages.select(F.explode(categories(F.col("text"))).alias("category"))
+    return each.groupBy("category").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "category").limit(most)

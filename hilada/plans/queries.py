@@ -412,6 +412,28 @@ def known_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("document_id", work.alias("work"))
 
 
+@query("""WITH a AS (SELECT document_id, editorial_score, approved FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY audit_id DESC, corpus_version DESC) AS rn FROM editorial_audit WHERE document_id IS NOT NULL) WHERE rn = 1)
+SELECT doc_id, document_id, editorial_score FROM documents JOIN a USING (document_id) WHERE approved AND editorial_score >= 80""")
+def audited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    audits = table(spark, sf_dir, "editorial_audit").select("document_id", "audit_id", "corpus_version", "editorial_score", "approved")
+    return corpus.audited(_documents(spark, sf_dir).select("doc_id", "document_id"), audits, 80)
+
+
+@query("SELECT value, count(*)::BIGINT AS n FROM (SELECT unnest(subjects) AS value FROM remote_record) WHERE value IS NOT NULL GROUP BY value ORDER BY n DESC, value LIMIT 100")
+def common_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = table(spark, sf_dir, "remote_record").select(F.filter("subjects", lambda s: s.isNotNull()).alias("subjects"))
+    return corpus.most_common(records, "subjects", 100)
+
+
+@query("""WITH s AS (SELECT DISTINCT document_id, source_code, canonical_path, original_path FROM document), e AS (SELECT DISTINCT canonical_path AS path FROM document WHERE status = 'CANONICAL' UNION SELECT DISTINCT local_path FROM remote_record),
+w AS (SELECT document_id, unnest([canonical_path, 'data/canonical/' || source_code || '/' || document_id || '.txt', original_path]) AS path, unnest([0, 1, 2]) AS way FROM s)
+SELECT document_id, arg_min(e.path, way) FILTER (e.path IS NOT NULL) AS path FROM w LEFT JOIN e USING (path) GROUP BY document_id""")
+def document_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "document")
+    existing = documents.where("status = 'CANONICAL'").select(F.col("canonical_path").alias("path")).union(table(spark, sf_dir, "remote_record").select("local_path")).where("path is not null")
+    return corpus.resolved_paths(documents.select("document_id", "source_code", "canonical_path", "original_path").distinct(), existing)
+
+
 # recovery
 
 

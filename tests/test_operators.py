@@ -91,6 +91,9 @@ def test_pages(spark):
     df = spark.createDataFrame([(1, page)], "k int, html string")
     assert {(r.id, r.label) for r in metadata.linked_ids(df, "k", "html", ["id=(\\d+)"]).collect()} == {("1", "Uno"), ("2", "Dos")}
     assert df.select(metadata.visible_text(F.col("html"))).first()[0] == "Dos Uno Otra 20240101 s s" and df.select(metadata.newest_snapshot(F.col("html"))).first()[0] == "20240102"
+    src = spark.createDataFrame([('<script src="/a.js"></script><script src="//x.example/jquery.js"></script><script src="https://o.example/b.js"></script>',)], "h string")
+    assert src.select(metadata.script_sources(F.col("h"), "x.example", ("jquery",))).first()[0] == ["https://x.example/a.js"]
+    assert spark.createDataFrame([(["https://x.example/1", "https://x.example/art/2"],)], "i array<string>").select(metadata.article_address(F.col("i"))).first()[0].endswith("/art/2")
     ids = spark.createDataFrame([(["doi:1", "http://x.example/a?script=sci_arttext&pid=S1", "https://x.example/a.PDF"],)], "i array<string>")
     got = ids.select(metadata.pdf_address(F.col("i")), metadata.article_address(F.col("i")), metadata.candidate_pdf(metadata.article_address(F.col("i")))).first()
     assert tuple(got) == ("https://x.example/a.PDF", "http://x.example/a?script=sci_arttext&pid=S1", "http://x.example/a?script=sci_pdf&pid=S1")
@@ -122,9 +125,19 @@ def test_dump_scan(spark, tmp_path):
     pages = [page.format("A", 0, 1, "", "Hola [[mundo]]\n {{x}}"), page.format("B", 1, 2, "", "x"), page.format("C", 0, 3, '<redirect title="A"/>', "x"), page.format("D", 0, 4, "", ""), page.format("E", 0, 5, "", "#REDIRECCIÓN [[A]]"), page.format("F", 0, 6, "", "{{Ficha}}")]
     (tmp_path / "d.xml.bz2").write_bytes(bz2.compress(("<mediawiki>" + "\n".join(pages) + "</mediawiki>").encode()))
     rows = {r.page_id: (r.outcome, r.plain) for r in wikitext.scanned(files.xml_pages(spark, str(tmp_path / "d.xml.bz2"))).collect()}
+    scan = files.xml_pages(spark, str(tmp_path / "d.xml.bz2"))
+    assert {r.outcome: r.pages for r in wikitext.outcomes(wikitext.scanned(scan)).collect()} == {"article": 1, "other namespace": 1, "redirect": 2, "blank": 1, "empty": 1}
+    assert {r.ns: (r.pages, r.redirects) for r in wikitext.namespaces(scan).collect()} == {0: (5, 2), 1: (1, 0)}
     assert rows == {1: ("article", "Hola mundo"), 2: ("other namespace", None), 3: ("redirect", None), 4: ("blank", None), 5: ("redirect", None), 6: ("empty", "")}
 
 
+def test_categories(spark):
+    pages = spark.createDataFrame([("[[Categoría:Cine de México]] [[Categoría:Arte|x]]",), ("[[categoria:Arte]]",), (None,)], "text string")
+    assert [tuple(r) for r in wikitext.top_categories(pages, 2).collect()] == [("Arte", 2), ("Cine de México", 1)]
+    names = wikitext.categories(F.col("text"))
+    assert [tuple(r) for r in pages.limit(1).select(wikitext.countries(names), wikitext.countries_mentioned(names)).collect()] == [([], ["MX"])]
+
+
 def test_text_files(spark, tmp_path):
     (tmp_path / "s").mkdir()
     (tmp_path / "s" / "a.TXT").write_bytes("año\r\n".encode())
