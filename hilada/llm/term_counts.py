@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import arrow_pass, newest
+from .common import arrow_pass, written
 
 RUN = re.compile(r"\w+")
 WORD = re.compile(r"[a-záéíóúüñ]{2,}")
@@ -169,7 +169,7 @@ def marks(documents: DataFrame, published: DataFrame, rare_below: int = 3, commo
     published (batch_no, word) the newest export holds; null counts state nothing; a word the batch hasn't has the counts 0.
     Rows without batch or word are no case.
     """
-    counts = term_counts(documents, "text", "batch_no")
+    counts = written(term_counts(documents, "text", "batch_no"))  # read twice below
     size = documents.count()
     every = counts.groupBy("term").agg(F.sum("document_frequency").alias("df"))
     mark = F.when(F.col("df") < rare_below, "rare").when(F.col("df") > common_above * size, "common")
