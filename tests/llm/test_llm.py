@@ -196,6 +196,15 @@ def test_residue(spark):
     assert residue.without_residue(documents(spark, found + kept)).count() == len(kept)
 
 
+def test_long_residue(spark):
+    menu = "\n".join(f"Sección {a}{b}" for a in "abcdefghij" for b in "abcdefghij")
+    latin = " ".join(random.Random(1).choices(["dolor", "magna", "veniam", "laboris", "mauris", "turpis", "felis"], k=200)) + "."
+    found = [f"{menu}\n\nActive JavaScript en su navegador.\n\n© 2020 X", "El servidor de la biblioteca no respondió a tiempo y la página no existe. " * 20, latin]
+    kept = [PROSE * 5, PROSE + f"\n\n{menu}"]
+    assert all(len(t) > 600 for t in found)
+    assert {r.doc_id for r in residue.residue(documents(spark, found + kept)).collect()} == {0, 1, 2}
+
+
 def test_filled_and_unfilled_slots_align():
     assert residue.template("Editor: {autor}")[0] == residue.template("Editor: Pérez")[0] == residue.template("Editor: ")[0]
     assert residue.template("Editor: {autor}")[1:] == (1, 0) and residue.template("Editor: Pérez")[1:] == (0, 1) and residue.template("Editor:")[1:] == (1, 0)
