@@ -3,8 +3,8 @@
 The title, menus and the footer of a record are set aside; the rest is cut into units (lines and sentences). Units of the same
 template are aligned: what can vary (names, numbers, values after a label, placeholders) is a slot, the rest must be equal. Over
 the whole corpus each slot's fillers are counted; a template whose slots mostly keep variable names, default values or blanks is
-residue. So are templates of messages, filler, and units that short pages share as their whole content. A record is residue
-where at least half of its content is.
+residue. So are templates of messages, filler, and units that pages with different titles share as their whole content, if most
+of what holds such a unit is a page of that kind. A record is residue where at least half of its content is.
 """
 
 from __future__ import annotations
@@ -54,8 +54,6 @@ TRACE = re.compile(r"^\s+at \S+\(\S*:\d+\)\s*$")
 FOOTER = re.compile(r"^\s*(?:©|\(c\)|copyright\b)", re.I)
 SENTENCE = re.compile(r"(?<=[.!?…])\s+(?=\S)")
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Pages that share their content are shorter.
-PAGE = 400
 
 
 def _menu(lines: list[str]) -> bool:
@@ -68,13 +66,20 @@ def _menu(lines: list[str]) -> bool:
 
 def units(text: str) -> list[str]:
     """Lines and sentences of the content: without title, menus, footer and page marks; wrapped lines are joined."""
+    return _cut(text)[1]
+
+
+def _cut(text: str) -> tuple[str, list[str]]:
+    """The title, '' if there is none, and the units."""
     text = PAGE_MARK.sub("", text.replace("\r\n", "\n").replace("\r", "\n"))
     paragraphs = [[l for l in p.split("\n") if l.strip()] for p in re.split(r"\n\s*\n", text)]
     paragraphs = [p for p in paragraphs if p]
-    out: list[str] = []
+    title, out = "", []
     for k, lines in enumerate(paragraphs):
         first = lines[0].strip()
         titled = k == 0 and len(paragraphs) > 1 and len(lines) == 1 and not re.search(r"[.!…:]$|[.!…]\s", first) and not is_message(first.lower()) and len(first.split()) <= 16 and not RESIDUE.search(first)
+        if titled:
+            title = first
         if titled or _menu([l.strip() for l in lines]) or all(FOOTER.match(l) for l in lines):
             continue
         joined: list[str] = []
@@ -85,7 +90,7 @@ def units(text: str) -> list[str]:
                 joined.append(l)
         for l in joined:
             out += [l] if TRACE.match(l) else [s for s in SENTENCE.split(l.strip()) if s]
-    return out
+    return title, out
 
 
 #: One of these is in every text that RESIDUE matches, and in every lower-cased one that FILLER does.
@@ -154,16 +159,27 @@ def _doubtful(found: list[list[str]]) -> list[bool]:
     return [s or sum(map(LATIN_BYTES.__contains__, l.encode().translate(ASCII_LETTERS).split())) >= 3 for l, s in zip(low, suspect)]  # 0.6 of four words
 
 
+def _hash(text: str, size: int) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=size).digest()
+
+
 def templates_of(documents: DataFrame) -> DataFrame:
-    """Rows (doc_id, template, chars, kept, filled, says_nothing, short) of all texts, of any length. A template stands as its hash."""
+    """Rows (doc_id, template, chars, kept, filled, says_nothing, page, head, content) of all texts, of any length.
+
+    A template stands as its hash. page is a hash of title and units, so that copies are one page; head of the title, or of the
+    first unit where there is none, as versions of one text have the same, null where a template has not more words than slots
+    (rows of figures are alike without sharing anything); content is the number of code points of all units.
+    """
 
     def start():
         def step(batch: pa.RecordBatch):
-            out: list[list] = [[] for _ in range(7)]
-            cut = [units(text) for text in batch.column(1).to_pylist()]
-            for doc, found, suspect in zip(batch.column(0).to_pylist(), cut, _doubtful(cut)):
+            out: list[list] = [[] for _ in range(9)]
+            cut = [_cut(text) for text in batch.column(1).to_pylist()]
+            for doc, (title, found), suspect in zip(batch.column(0).to_pylist(), cut, _doubtful([u for _, u in cut])):
+                if not found:
+                    continue
                 times = Counter(found)
-                short = sum(map(len, found)) < PAGE
+                page, head, content = _hash("\n".join([title, *found]), 8), _hash(" ".join(LETTERS.findall(title.lower())) or found[0].lower(), 8), sum(map(len, found))
                 rows: dict[str, list] = {}
                 for unit, n in times.items():
                     key, kept, filled = template(unit)
@@ -172,28 +188,38 @@ def templates_of(documents: DataFrame) -> DataFrame:
                         row[k] += value
                     row[3] |= (suspect or len(times) == 1) and says_nothing(unit, n, len(times))
                 for key, row in rows.items():
-                    for column, value in zip(out, (doc, hashlib.blake2b(key.encode("utf-8", "replace"), digest_size=16).digest(), *row, short)):
+                    for column, value in zip(out, (doc, _hash(key, 16), *row, page, head if len(LETTERS.findall(key)) > key.count("~") else None, content)):
                         column.append(value)
             yield out
 
         return step
 
     rows = documents.where("text is not null").select("doc_id", "text")
-    return arrow_pass(rows, "doc_id long, template binary, chars long, kept long, filled long, says_nothing boolean, short boolean", start)
+    return arrow_pass(rows, "doc_id long, template binary, chars long, kept long, filled long, says_nothing boolean, page binary, head binary, content long", start)
 
 
-def induced(found: DataFrame, shared_by: int = 3) -> DataFrame:
-    """Of each template of the corpus: whether it is residue, and the reason. One row for each template that is."""
-    stats = found.groupBy("template").agg(
-        F.sum("kept").alias("kept"), F.sum("filled").alias("filled"), F.max("says_nothing").alias("says_nothing"),
-        F.count_if("short").alias("pages"), F.count_if(~F.col("short")).alias("others"),
-    )
-    reason = (
-        F.when((F.col("kept") > 0) & (F.col("kept") >= F.col("filled")), "unfilled slots")
-        .when(F.col("says_nothing"), "message or filler")
-        .when((F.col("pages") >= shared_by) & (F.col("others") == 0), "shared by whole pages")
-    )
-    return stats.withColumn("reason", reason).where("reason is not null").select("template", "reason")
+def induced(found: DataFrame, shared_by: int = 3, share: float = 0.5) -> DataFrame:
+    """Of each template of the corpus: whether it is residue, and the reason. One row for each template that is.
+
+    Templates that at least `shared_by` heads hold are common. A page is shared where at least `share` of its content is common
+    and so many heads have pages with the same common templates; lists of common entries differ in them. A template is residue
+    where so many heads, and at least `share` of all heads that hold it in a text of any length, have shared pages with it.
+    Copies and versions of one text have one head, so they share nothing.
+    """
+    stats = found.groupBy("template").agg(F.sum("kept").alias("kept"), F.sum("filled").alias("filled"), F.max("says_nothing").alias("says_nothing"), F.count("*").alias("records"))
+    reason = F.when((F.col("kept") > 0) & (F.col("kept") >= F.col("filled")), "unfilled slots").when(F.col("says_nothing"), "message or filler")
+    stats = written(stats.withColumn("reason", reason).where((F.col("reason").isNotNull()) | (F.col("records") >= shared_by)).select("template", "reason"))
+
+    units = found.where("head is not null").join(stats.where("reason is null"), "template", "left_semi").select("template", "page", "head", "chars", "content").distinct()
+    heads = units.select("template", "head").distinct().groupBy("template").agg(F.count("*").alias("heads")).where(F.col("heads") >= shared_by)
+    units = written(units.join(heads, "template"))
+    whole = units.groupBy("page").agg(F.sum("chars").alias("common"), F.max("content").alias("content"), F.max("head").alias("head"), F.xxhash64(F.sort_array(F.collect_set("template"))).alias("together"))
+    whole = written(whole.where(F.col("common") >= share * F.col("content")).select("page", "head", "together"))
+    alike = whole.select("together", "head").distinct().groupBy("together").agg(F.count("*").alias("n")).where(F.col("n") >= shared_by)
+    whole = whole.join(alike, "together", "left_semi").select("page")
+    pages = units.join(whole, "page", "left_semi").select("template", "head", "heads").distinct().groupBy("template").agg(F.count("*").alias("pages"), F.max("heads").alias("heads"))
+    shared = pages.where((F.col("pages") >= shared_by) & (F.col("pages") >= share * F.col("heads"))).select("template", F.lit("shared by whole pages").alias("reason"))
+    return stats.where("reason is not null").unionByName(shared)
 
 
 def residue(documents: DataFrame, share: float = 0.5, shared_by: int = 3) -> DataFrame:
@@ -202,7 +228,7 @@ def residue(documents: DataFrame, share: float = 0.5, shared_by: int = 3) -> Dat
     Null and empty texts, and texts of nothing but titles and menus, are no case. Repeated rows of a doc_id count together.
     """
     found = written(templates_of(documents))
-    judged = found.join(induced(found, shared_by), "template", "left")
+    judged = found.join(induced(found, shared_by, share), "template", "left")
     judged = judged.withColumn("reason", F.when((F.col("reason") != "unfilled slots") | (F.col("kept") > 0), F.col("reason")))  # a filled slot is content
     bad = F.sum(F.when(F.col("reason").isNotNull(), F.col("chars")).otherwise(0))
     shares = judged.groupBy("doc_id").agg(F.try_divide(bad, F.sum("chars")).alias("residue_share"), F.sort_array(F.collect_set("reason")).alias("reasons"))

@@ -205,6 +205,23 @@ def test_long_residue(spark):
     assert {r.doc_id for r in residue.residue(documents(spark, found + kept)).collect()} == {0, 1, 2}
 
 
+def test_pages_that_share_their_content(spark):
+    poem = "La tarde cae sobre el río y la barca espera junto a la orilla. Nadie canta ya en la casa del molino."
+    odd = "Aquí hubo algo que ahora duerme. Vuelva cuando despierte."
+    def long(seed):  # no two share a sentence
+        draw = random.Random(seed)
+        return " ".join(" ".join("".join(draw.choices("aeiolnrst", k=6)) for _ in range(8)).capitalize() + "." for _ in range(9))
+
+    copies = [poem] * 4 + [f"La barca\n\n{poem}\n\n© {y} Archivo" for y in (2001, 2002, 2003, 2004)]
+    quoting = [f"{long(1)} {odd}"]
+    pages = [f"{t}\n\n{odd}" for t in ("Museo de la villa", "Actas del congreso", "Revista de letras", "Cartas a un amigo")]
+    common = [f"{long(k)} Llegó tarde. {long(k + 9)}" for k in range(2, 6)] + [f"{t}\n\nLlegó tarde." for t in ("Ana", "Eva", "Sol")] + [f"{t}\n\n{n} 41,5 {n + 7}\n{n} 12 9" for n, t in enumerate(("Ana", "Eva", "Sol", "Luz"))]
+    entries = ["la casa vieja", "el río ancho", "la luz clara", "el valle verde", "la voz baja", "el mar gris", "la flor roja"]
+    common += ["\n".join(e.capitalize() + "." for e in random.Random(k).sample(entries, 4)) for k in range(14)]
+    got = {r.doc_id for r in residue.residue(documents(spark, copies + quoting + common + pages)).collect()}
+    assert got == set(range(len(copies + quoting + common), len(copies + quoting + common + pages)))
+
+
 def test_filled_and_unfilled_slots_align():
     assert residue.template("Editor: {autor}")[0] == residue.template("Editor: Pérez")[0] == residue.template("Editor: ")[0]
     assert residue.template("Editor: {autor}")[1:] == (1, 0) and residue.template("Editor: Pérez")[1:] == (0, 1) and residue.template("Editor:")[1:] == (1, 0)
