@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from .common import arrow_pass, written
 
-# Single-byte encodings by which UTF-8 is misread, and pairs (written in, read as) of single-byte encodings.
+# Single-byte encodings by which UTF-8 is misread; those in which Western texts are written (Latin-1 has no letter
+# that cp1252 has not at the same place) and, besides these, read: all pairs of them.
 UTF8_READ_AS = ("cp1252", "latin-1", "iso8859-15", "cp1250", "cp1251", "cp437", "cp850", "mac_roman", "koi8_r")
-MISREAD = (("latin-1", "cp850"), ("latin-1", "cp437"), ("latin-1", "mac_roman"), ("latin-1", "cp1251"), ("cp850", "latin-1"), ("cp437", "latin-1"), ("mac_roman", "cp1252"), ("mac_roman", "latin-1"))
+WRITTEN_IN = ("cp1252", "cp850", "cp437", "mac_roman")
+MISREAD = tuple((a, b) for a in WRITTEN_IN for b in (*WRITTEN_IN, "latin-1", "cp1251") if a != b and (a, b) != ("cp1252", "latin-1"))
 TWICE = (("cp1252", "cp1252"), ("latin-1", "latin-1"), ("latin-1", "cp1252"), ("cp1252", "latin-1"), ("mac_roman", "mac_roman"), ("cp437", "cp437"), ("cp850", "cp850"), ("cp1251", "cp1251"))
 LOST = ("?", "\ufffd")
 
@@ -83,11 +85,18 @@ def skeleton(word: str) -> str:
     return "".join(c for c in word if c < "\x80" and c != "?")
 
 
+def _spaced(word: str) -> bool:
+    """Words that nothing but a no-break space may have damaged, which á becomes; no proof, and restored only to known words."""
+    return "\u00a0" in word and not BAD.search(word)
+
+
 def suspicious(text: str) -> list[str]:
     """The words of a text that may be garbled or may have lost letters."""
     found = []
     if BAD.search(text):
         found = [w for w in CORE.findall(text) if BAD.search(w)]
+    if "\u00a0" in text:
+        found += [w for w in CORE.findall(text) if _spaced(w)]
     if "?" in text:
         found += QUESTIONED.findall(text)
     return found
@@ -164,10 +173,16 @@ HOLE = re.compile(f"[A-Za-z{LOWER}{UPPER}]+[?][a-z{LOWER}]+")
 HALF = re.compile("[ÃÂ√├┬Г]")
 
 
+def _explained(word: str, letters: Letters) -> bool:
+    """Whether some chain makes a word of a suspicious one: not of units and amounts (20°C, m², €30), nor of foreign names."""
+    ascii_part = skeleton(word)
+    return len(ascii_part) >= 2 and not _spaced(word) and not any(map(str.isdigit, ascii_part)) and any(letters.restore(word, chain) for chain in letters.by)
+
+
 def restored(text: str, known: dict[str, list[tuple[str, str | None]]], letters: Letters) -> str | None:
     """The original of a damaged text, '' where letters were lost for good, None where the text isn't damaged."""
     bad = set(suspicious(text))
-    proof = Counter(chain for w in bad for chain in {c for c, _ in known.get(w, ())})
+    proof = Counter(chain for w in bad if len(w) > 1 and not _spaced(w) for chain in {c for c, _ in known.get(w, ())})  # one sign alone is itself
     for w in bad - set(known):
         for chain in letters.by:
             if chain not in proof and chain.startswith("utf-8>") and letters.restore(w, chain):  # a letter as two bytes or more is proof by itself
@@ -178,10 +193,10 @@ def restored(text: str, known: dict[str, list[tuple[str, str | None]]], letters:
     for w in bad:
         options = {c: o for c, o in known.get(w, ()) if o is not None}
         for chain, _ in sorted(proof.items(), key=lambda x: (-x[1], x[0])):
-            if original := options.get(chain) or letters.restore(w, chain):
+            if original := options.get(chain) or not _spaced(w) and letters.restore(w, chain):
                 swaps[w] = original
                 break
-    if not swaps or 2 * len(swaps) < sum(skeleton(w) != "" for w in bad):  # chance, as in noise
+    if not swaps or 2 * len(swaps) < sum(w in swaps or _explained(w, letters) for w in bad):  # chance, as in noise
         return None
     if any(HALF.search(w) for w in bad - set(swaps)):
         return ""

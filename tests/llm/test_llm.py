@@ -112,6 +112,15 @@ def test_damaged_texts_come_back(spark):
     assert got == {f"t{i + 3}": o for i, o in enumerate(originals)} | {"t9": clean[1] + "\n\n" + clean[0]}
 
 
+def test_damage_of_a_part_and_pairs_of_encodings(spark):
+    clean = ["La canción del niño cambió según el público en el décimo café.", "Añadió más té después."]
+    science = "A 20°C el área de 5 m² costó €30 según Dvořák."
+    twins = [clean[0].encode(a).decode(b) for a, b in (("cp850", "cp1252"), ("cp437", "cp1252"), ("cp1252", "cp850"))] + [clean[1].encode("cp850").decode("cp1252")]
+    rows = [("text", f"t{i}", t) for i, t in enumerate([*clean, science, "Cuesta 50 ¢ en 3 m².", science + " La " + "canción del niño".encode().decode("latin-1"), *twins])]
+    got = {r.document_id: r.restored for r in mojibake.damaged(spark.createDataFrame(rows, "field string, document_id string, text string")).collect()}
+    assert got == {"t4": science + " La canción del niño", "t5": clean[0], "t6": clean[0], "t7": clean[0], "t8": clean[1]}
+
+
 # leaks
 
 
