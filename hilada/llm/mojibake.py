@@ -102,29 +102,37 @@ def suspicious(text: str) -> list[str]:
     return found
 
 
-def _words(rows: DataFrame) -> DataFrame:
-    """Distinct (word, skeleton, clean) of the column text, of words with letters beyond ASCII or a doubtful question mark."""
+def _scanned(rows: DataFrame) -> DataFrame:
+    """One pass over all texts, as rows of two kinds: (word, skeleton, clean) of words with letters beyond ASCII or a doubtful
+    question mark, distinct inside a task; and (field, document_id, text, bad) of the texts that have suspicious words."""
 
     def start():
         held: dict[str, bool] = {}
 
         def step(batch: pa.RecordBatch | None):
             if batch is not None:
-                for t in batch.column(0).to_pylist():
-                    bad = suspicious(t)
-                    for w in bad:
-                        held[w] = False
+                out: list[list] = [[], [], [], []]
+                for field, key, t in zip(*(c.to_pylist() for c in batch.columns)):
+                    if bad := set(suspicious(t)):
+                        held.update(dict.fromkeys(bad, False))
+                        for column, value in zip(out, (field, key, t, list(bad))):
+                            column.append(value)
                     if not t.isascii():
                         for w in CORE.findall(t):
                             if w not in held:
                                 held[w] = BAD.search(w) is None
+                if out[0]:
+                    none = [None] * len(out[0])
+                    yield [none, none, none, *out]
             if held and (batch is None or len(held) > 200_000):
-                yield [list(held), [skeleton(w) for w in held], list(held.values())]
+                none = [None] * len(held)
+                yield [list(held), [skeleton(w) for w in held], list(held.values()), none, none, none, none]
                 held.clear()
 
         return step
 
-    return arrow_pass(rows.select("text"), "word string, skeleton string, clean boolean", start, flush=True).distinct()
+    schema = "word string, skeleton string, clean boolean, field string, document_id string, text string, bad array<string>"
+    return arrow_pass(rows.select("field", "document_id", "text"), schema, start, flush=True)
 
 
 def _forms(clean: DataFrame) -> DataFrame:
@@ -167,8 +175,6 @@ class Letters:
         return out if out != word and not BAD.search(out) and garbled_forms(out).get(chain) == word else None
 
 
-#: A letter replaced inside a word.
-HOLE = re.compile(f"[A-Za-z{LOWER}{UPPER}]+[?][a-z{LOWER}]+")
 #: First parts of garbled letters; left over, they show that the rest is gone.
 HALF = re.compile("[ÃÂ√├┬Г]")
 
@@ -180,14 +186,16 @@ def _explained(word: str, letters: Letters) -> bool:
 
 
 def restored(text: str, known: dict[str, list[tuple[str, str | None]]], letters: Letters) -> str | None:
-    """The original of a damaged text, '' where letters were lost for good, None where the text isn't damaged."""
+    """The original of a damaged text, '' where letters were lost for good, None where the text isn't damaged.
+
+    known: by word of the text, the (chain, original) of the clean words that can have become it. Only such a hit proves a chain;
+    under a proven chain names go by their letters. A chain of single bytes must also have hits for half of the words that any
+    chain may explain, as signs strewn over a text make some words by chance.
+    """
     bad = set(suspicious(text))
-    proof = Counter(chain for w in bad if len(w) > 1 and not _spaced(w) for chain in {c for c, _ in known.get(w, ())})  # one sign alone is itself
-    for w in bad - set(known):
-        for chain in letters.by:
-            if chain not in proof and chain.startswith("utf-8>") and letters.restore(w, chain):  # a letter as two bytes or more is proof by itself
-                proof[chain] += 1
-    if proof.pop("", 0) or any("\ufffd" in w and skeleton(w) or HOLE.fullmatch(w) for w in bad):
+    hits = {w: {c for c, _ in known.get(w, ())} for w in bad if len(w) > 1 and not _spaced(w)}  # one sign alone is itself
+    proof = Counter(chain for chains in hits.values() for chain in chains)
+    if proof.pop("", 0) or any("\ufffd" in w and skeleton(w) for w in bad):  # U+FFFD itself says that letters were lost
         return ""
     swaps: dict[str, str] = {}
     for w in bad:
@@ -196,44 +204,36 @@ def restored(text: str, known: dict[str, list[tuple[str, str | None]]], letters:
             if original := options.get(chain) or not _spaced(w) and letters.restore(w, chain):
                 swaps[w] = original
                 break
-    if not swaps or 2 * len(swaps) < sum(w in swaps or _explained(w, letters) for w in bad):  # chance, as in noise
+    explained = sum(w in swaps or _explained(w, letters) for w in bad)
+    several_bytes = any(chain.startswith("utf-8>") for chain in proof)
+    if not swaps or 2 * (len(swaps) if several_bytes else sum(map(bool, hits.values()))) < explained:
         return None
     if any(HALF.search(w) for w in bad - set(swaps)):
         return ""
     return CORE.sub(lambda m: swaps.get(m[0], m[0]), text)
 
 
-def damaged(rows: DataFrame) -> DataFrame:
+def damaged(rows: DataFrame, salts: int = 8) -> DataFrame:
     """Rows (field, document_id, restored) of damaged texts among rows (field, document_id, text).
 
-    restored is '' where letters were lost for good. Null and empty texts are no case; equal rows give equal results once.
+    restored is '' where letters were lost for good. Null and empty texts are no case; a null field or document_id stays null.
+    Equal rows give equal results once; texts that differ under one document_id are judged each by itself. The words of the
+    texts meet the table of garbled forms in `salts` parts, so that a frequent word is not one task's.
     """
-    rows = rows.where("text is not null and text != ''").select("field", "document_id", "text")
-    words = written(_words(rows))
+    scan = written(_scanned(rows.where("text is not null and text != ''")).withColumn("row", F.monotonically_increasing_id()))
+    words = written(scan.where("word is not null").select("word", "skeleton", "clean").distinct())
     bad = words.where("not clean")
     clean = words.where("clean").join(bad.select("skeleton").distinct(), "skeleton", "left_semi")
     matched = bad.select("word").join(_forms(clean), F.col("word") == F.col("form")).select("word", "chain", "original").distinct()
-    matched = written(matched)
+    held = written(matched.groupBy("word").agg(F.collect_set(F.struct("chain", "original")).alias("options")))  # few for each chain: words of one form
 
     letters = [r.c for r in words.where("clean").select(F.explode(F.split("word", "")).alias("c")).where("c > '\x7f'").distinct().collect()]  # an alphabet: BAD bounds it
     shared = rows.sparkSession.sparkContext.broadcast(letters)
 
-    def start():
-        def step(batch: pa.RecordBatch):
-            out: list[list] = [[], [], [], []]
-            for n, (field, key, text) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
-                found = set(suspicious(text))
-                if found:
-                    for column, value in zip(out, (field, key, text, list(found))):
-                        column.append(value)
-            yield out
-
-        return step
-
-    texts = written(arrow_pass(rows, "field string, document_id string, text string, bad array<string>", start))
-    held = matched.groupBy("word").agg(F.collect_set(F.struct("chain", "original")).alias("options"))  # at most one for each chain
-    per_text = texts.select("field", "document_id", F.explode("bad").alias("word")).join(held, "word")
-    per_text = per_text.groupBy("field", "document_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "options"))).alias("known"))
+    texts = scan.where("text is not null").select("row", "field", "document_id", "text", "bad")
+    per_text = texts.select("row", F.explode("bad").alias("word")).withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
+    spread = held.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    per_text = per_text.join(spread, ["word", "salt"]).groupBy("row").agg(F.collect_list(F.struct("word", "options")).alias("known"))
 
     def restoring():
         alphabet = Letters(shared.value)
@@ -241,7 +241,7 @@ def damaged(rows: DataFrame) -> DataFrame:
         def step(batch: pa.RecordBatch):
             out: list[list] = [[], [], []]
             for field, key, text, known in zip(*(c.to_pylist() for c in batch.columns)):
-                options = {w: [(o["chain"], o["original"]) for o in os] for w, os in known or ()}
+                options = {k["word"]: [(o["chain"], o["original"]) for o in k["options"]] for k in known or ()}
                 original = restored(text, options, alphabet)
                 if original is not None:
                     for column, value in zip(out, (field, key, original)):
@@ -250,7 +250,7 @@ def damaged(rows: DataFrame) -> DataFrame:
 
         return step
 
-    joined = texts.drop("bad").join(per_text, ["field", "document_id"], "left").select("field", "document_id", "text", "known")
+    joined = texts.drop("bad").join(per_text, "row", "left").select("field", "document_id", "text", "known")
     return arrow_pass(joined, "field string, document_id string, restored string", restoring).distinct()
 
 
