@@ -63,8 +63,8 @@ def p2_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every run of up to three words that at least 50 documents have."""
-    counts = term_counts.term_counts(_documents(spark, sf_dir), "text", length=3).where("document_frequency >= 50")
+    """Every run of up to three words that isn't rare, in the sense of p2_found: at least 3 documents have it."""
+    counts = term_counts.term_counts(_documents(spark, sf_dir), "text", length=3).where("document_frequency >= 3")
     return counts.select("term", "absolute_frequency", "document_frequency")
 
 
@@ -200,7 +200,7 @@ def _sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     budgets = mixing.mix_budgets(table(spark, sf_dir, "mix_target"), mixing.source_profile(_sliced(spark, sf_dir)))
-    return budgets.where("not reachable").select("mix_id", "source_code")
+    return budgets.where("not reachable").select("mix_id", "source_code").distinct()
 
 
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,11 +208,27 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = written(_sliced(spark, sf_dir))
     budgets = written(mixing.mix_budgets(table(spark, sf_dir, "mix_target"), mixing.source_profile(tokens)))
     taken = mixing.mix_selection(budgets, tokens).groupBy("mix_id", "source_code").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("taken_tokens"))
-    taken = budgets.select("mix_id", "source_code", "target_share").join(taken, ["mix_id", "source_code"], "left").fillna({"taken_tokens": 0})
+    taken = budgets.select("mix_id", "source_code", "target_share").distinct().join(taken, ["mix_id", "source_code"], "left").fillna({"taken_tokens": 0})
     whole = taken.groupBy("mix_id").agg(F.sum("taken_tokens").alias("all_tokens"))
     return taken.join(whole, "mix_id").select("mix_id", "source_code", "target_share", "taken_tokens", F.coalesce(F.try_divide("taken_tokens", "all_tokens"), F.lit(0.0)).alias("reached_share"))
 
 
+def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each mix and source, what the budgets and the documents taken must keep: no more than max_repeats times the tokens, the
+    whole target where it is reachable, and no leaf short of its budget by as much as its longest document."""
+    tokens = written(_sliced(spark, sf_dir))
+    budgets = written(mixing.mix_budgets(table(spark, sf_dir, "mix_target"), mixing.source_profile(tokens)))
+    at = ["mix_id", "source_code", "domain", "language"]
+    longest = tokens.groupBy(F.col("source").alias("source_code"), F.coalesce("domain", F.lit("")).alias("domain"), F.coalesce("language", F.lit("")).alias("language")).agg(F.max("n_tokens").alias("longest"))
+    taken = mixing.mix_selection(budgets, tokens).groupBy(*at).agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("taken"), F.max("copies").alias("copies"))
+    leaf = budgets.join(taken, at, "left").join(longest, at[1:], "left").fillna({"taken": 0, "copies": 0, "longest": 0})
+    filled = F.bool_and((F.col("taken") <= F.col("granted_tokens") + 1e-3) & (F.col("taken") + F.col("longest") >= F.col("granted_tokens") - 1e-3))
+    return leaf.groupBy("mix_id", "source_code").agg(
+        F.sum("tokens").alias("tokens"), F.bool_and("reachable").alias("reachable"), (F.max("copies") <= F.max("max_repeats")).alias("within_repeats"), filled.alias("filled"),
+        (F.sum("granted_tokens") >= F.least(F.max("target_share") * F.max("total_tokens"), F.sum(F.col("max_repeats") * F.col("tokens"))) - 1e-3).alias("has_target"),
+    )
+
+
 def p1_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the corpus consists of: by source and area, the documents and the code points of their parts."""
     mixtures, _, names = _subjects(spark, sf_dir)

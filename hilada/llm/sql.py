@@ -28,6 +28,7 @@ FOUND_8 = (
     + """, s AS (SELECT source AS source_code, sum(n_tokens) AS n FROM tokens JOIN documents USING (doc_id) GROUP BY source), m AS (SELECT mix_id, source_code, target_share, max_repeats, coalesce(n, 0)::BIGINT AS n FROM mix_target LEFT JOIN s USING (source_code)),
  t AS (SELECT *, sum(n) OVER (PARTITION BY mix_id) AS whole FROM m) SELECT mix_id, source_code FROM t WHERE max_repeats * n < target_share * whole"""
 )
+CHECKS_8 = FOUND_8.partition(" SELECT mix_id, source_code FROM t")[0] + " SELECT mix_id, source_code, n AS tokens, max_repeats * n >= target_share * whole AS reachable, true AS within_repeats, true AS filled, true AS has_target FROM t"
 BARE = r"list_filter(regexp_split_to_array(strip_accents(lower(regexp_replace(replace(replace(nfc_normalize({}), '_', ' '), chr(13), chr(10)), '([\p{{L}}\p{{N}}])-[^\S\n]*\n\s*([\p{{L}}\p{{N}}])', '\1\2', 'g'))), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
 FOUND_7 = f"""WITH i AS (SELECT DISTINCT item_id, {BARE.format("passage")} AS ws FROM evaluation_item), d AS (SELECT doc_id, {BARE.format("text")} AS ws FROM documents),
  ig AS (SELECT item_id, len(ws) AS n, unnest(range(1, len(ws) - 5)) AS k, ws FROM i WHERE len(ws) >= 7), ik AS (SELECT item_id, n, k, array_to_string(ws[k:k + 6], ' ') AS g FROM ig),
@@ -35,11 +36,29 @@ FOUND_7 = f"""WITH i AS (SELECT DISTINCT item_id, {BARE.format("passage")} AS ws
  hit AS (SELECT DISTINCT item_id, doc_id, n, k FROM ik JOIN dg USING (g)), cover AS (SELECT DISTINCT item_id, doc_id, n, k + j AS at FROM hit CROSS JOIN (SELECT unnest(range(0, 7)) AS j))
  SELECT item_id, doc_id FROM cover GROUP BY item_id, doc_id, n HAVING count(*) >= 0.5 * n"""
 
+PHRASES_2 = r"""WITH ws AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(nfc_normalize(text)), '[^\p{L}\p{N}_]+'), lambda x: regexp_full_match(x, '[a-záéíóúüñ]{2,}')) AS w FROM documents),
+ g AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS term FROM ws, (SELECT unnest([1, 2, 3]) AS k))
+SELECT term, sum(n)::BIGINT AS absolute_frequency, count(*)::BIGINT AS document_frequency FROM (SELECT doc_id, term, count(*) AS n FROM g GROUP BY ALL) GROUP BY term HAVING count(*) >= 3"""
+
+# What is left of each text: all that lies outside the words of the windows, found again by the lengths of words and gaps.
+CLEANED_7 = f"""WITH i AS (SELECT DISTINCT item_id, {BARE.format("passage")} AS ws FROM evaluation_item), d AS (SELECT doc_id, {BARE.format("text")} AS ws, text FROM documents),
+ ig AS (SELECT item_id, len(ws) AS n, unnest(range(1, len(ws) - 5)) AS k, ws FROM i WHERE len(ws) >= 7), ik AS (SELECT item_id, n, k, array_to_string(ws[k:k + 6], ' ') AS g FROM ig),
+ dg AS (SELECT doc_id, unnest(range(1, len(ws) - 5)) AS pos, unnest(list_transform(range(1, len(ws) - 5), lambda k: array_to_string(ws[k:k + 6], ' '))) AS g FROM d WHERE len(ws) >= 7),
+ hit AS (SELECT item_id, doc_id, n, k, pos FROM ik JOIN dg USING (g)), cover AS (SELECT DISTINCT item_id, doc_id, n, k + j AS p FROM hit CROSS JOIN (SELECT unnest(range(0, 7)) AS j)),
+ leak AS (SELECT item_id, doc_id FROM cover GROUP BY item_id, doc_id, n HAVING count(*) >= 0.5 * n), gone AS (SELECT DISTINCT doc_id, pos + j AS w FROM hit JOIN leak USING (item_id, doc_id) CROSS JOIN (SELECT unnest(range(0, 7)) AS j)),
+ pieces AS (SELECT doc_id, regexp_extract_all(replace(replace(text, '_', ' '), chr(13), chr(10)), '[\\p{{L}}\\p{{N}}\\x{{0300}}-\\x{{036f}}]+(?:-[^\\S\\n]*\\n\\s*[\\p{{L}}\\p{{N}}\\x{{0300}}-\\x{{036f}}]+)*|[^\\p{{L}}\\p{{N}}\\x{{0300}}-\\x{{036f}}]') AS ps FROM documents WHERE doc_id IN (SELECT doc_id FROM gone)),
+ each AS (SELECT doc_id, unnest(ps) AS p, unnest(range(1, len(ps) + 1)) AS i FROM pieces), numbered AS (SELECT *, count(*) FILTER (regexp_matches(p, '^[\\p{{L}}\\p{{N}}\\x{{0300}}-\\x{{036f}}]')) OVER (PARTITION BY doc_id ORDER BY i) AS w, regexp_matches(p, '^[\\p{{L}}\\p{{N}}\\x{{0300}}-\\x{{036f}}]') AS word FROM each),
+ cut AS (SELECT n.doc_id, sum(length(p)) AS lost FROM numbered n WHERE EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = n.doc_id AND g.w = n.w) AND (word OR EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = n.doc_id AND g.w = n.w + 1)) GROUP BY n.doc_id)
+SELECT doc_id, (length(text) - coalesce(lost, 0))::BIGINT AS n_chars FROM documents LEFT JOIN cut USING (doc_id)"""
+
 SQL = {
+    "p7_cleaned": CLEANED_7,
+    "p2_phrases": PHRASES_2,
     "p2_found": FOUND_2,
     "p2_frequencies": "WITH " + BY_BATCH + " SELECT word, sum(a)::BIGINT AS absolute_frequency, sum(d)::BIGINT AS document_frequency FROM counts GROUP BY word",
     "p4_found": "WITH " + TOKENS + " SELECT doc_id, n_tokens FROM tokens",
     "p4_totals": TOTALS_4,
     "p7_found": FOUND_7,
     "p8_found": FOUND_8,
+    "p8_checks": CHECKS_8,
 }

@@ -3,9 +3,9 @@
 Each record gives its suffixes, cut to `length` terms. A suffix is sent with its number of occurrences and, for each of its
 prefixes, whether the prefix is new in its record: in the record's sorted suffixes a prefix is new where it is longer than what
 the suffix shares with the one before it. So sets of records become numbers that add up, and equal suffixes are combined in each
-task before any shuffle. Suffixes are then routed by their first term (and a hash of the second, so that a frequent first term
-is spread over tasks), sorted in reverse order, and one stack along the sorted rows adds up all prefixes. A last small sum
-joins the parts of the prefixes of one term.
+task before any shuffle. Suffixes are then routed by group and first term (and a hash of the second, so that a frequent first
+term is spread over tasks), sorted in reverse order, and one stack along the sorted rows adds up equal suffixes and all prefixes.
+A last small sum joins the parts of the prefixes of one term; single words need none.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ WORD = re.compile(r"[a-záéíóúüñ]{2,}")
 #: Distinct suffixes that a task holds before it sends them on.
 HELD = 200_000
 SEPARATOR = " "
+ONE = (1,)
 
 
 def words(text: str) -> list[str]:
@@ -35,24 +36,29 @@ def words(text: str) -> list[str]:
     return [w for w in RUN.findall(text) if WORD.fullmatch(w)]
 
 
-def _word_counts(text: str, known: dict[str, bool]) -> dict[str, int]:
-    """Counter(words(text)), with the shape of each distinct run looked up."""
+def _word_list(text: str, known: dict[str, bool]) -> list[str]:
+    """words(text), with the shape of each distinct run looked up."""
     if not text.isascii():
         text = unicodedata.normalize("NFC", text)
-    found = {}
-    for run, n in Counter(RUN.findall(text.lower())).items():
+    out = []
+    for run in RUN.findall(text.lower()):
         ok = known.get(run)
         if ok is None:
             if len(known) > 1_000_000:
                 known.clear()
             ok = known[run] = WORD.fullmatch(run) is not None
         if ok:
-            found[run] = n
-    return found
+            out.append(run)
+    return out
 
 
 def _suffixes(terms: list[str], length: int) -> Iterator[tuple[str, int, list[int]]]:
-    """Of one record: each distinct suffix with its count and, by prefix length, 1 where the prefix is new in the record."""
+    """Of one record: each distinct suffix, cut to `length` terms, with its count and, by prefix length, 1 where the prefix is
+    new in the record. A suffix of one term is its own only prefix and always new."""
+    if length == 1:
+        for suffix, n in Counter(terms).items():
+            yield suffix, n, ONE
+        return
     before: tuple = ()
     for suffix, n in sorted(Counter(tuple(terms[i : i + length]) for i in range(len(terms))).items()):
         shared = 0
@@ -85,34 +91,23 @@ def term_counts(df: DataFrame, text: str = "text", group: str | None = None, len
                 yield from out()
                 return
             for grp, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if length == 1 and tokenize is None:  # each distinct word is a suffix of its own, new in its record
-                    for w, n in _word_counts(t, known).items():
-                        if v := held.get((grp, w)):
-                            v[0] += n
-                            v[1] += 1
-                        else:
-                            held[grp, w] = [n, 1]
-                else:
-                    for suffix, n, new in _suffixes((tokenize or words)(t), length):
-                        v = held.setdefault((grp, suffix), [0] * (length + 1))
+                for suffix, n, new in _suffixes(tokenize(t) if tokenize else _word_list(t, known), length):
+                    if v := held.get((grp, suffix)):
                         v[0] += n
                         for k, x in enumerate(new, 1):
                             v[k] += x
+                    else:
+                        held[grp, suffix] = [n, *new]
                 if len(held) > HELD:
                     yield from out()
 
         return step
 
     sent = arrow_pass(rows, "grp long, suffix string, n long, news array<long>", start, flush=True)
-    combined = sent.groupBy("grp", "suffix").agg(F.sum("n").alias("n"), *(F.sum(F.col("news")[k]).alias(f"new{k}") for k in range(length)))
-    combined = combined.select("grp", "suffix", "n", F.array(*(F.col(f"new{k}") for k in range(length))).alias("news"))
-    if length == 1:
-        routed = combined.sortWithinPartitions("grp", F.desc("suffix"))  # routed by the term already, where it was combined
-    else:
-        first, second = F.split_part("suffix", F.lit(SEPARATOR), F.lit(1)), F.split_part("suffix", F.lit(SEPARATOR), F.lit(2))
-        routed = combined.repartition(first, F.pmod(F.xxhash64(second), F.lit(64))).sortWithinPartitions("grp", F.desc("suffix"))
+    first, second = F.split_part("suffix", F.lit(SEPARATOR), F.lit(1)), F.split_part("suffix", F.lit(SEPARATOR), F.lit(2))
+    routed = sent.repartition("grp", first, F.pmod(F.xxhash64(second), F.lit(64))).sortWithinPartitions("grp", F.desc("suffix"))
     stacked = arrow_pass(routed, "grp long, term string, absolute_frequency long, document_frequency long", lambda: _stack(length), flush=True)
-    if length > 1:
+    if length > 1:  # a prefix of one term is in each part of its second terms
         stacked = stacked.groupBy("grp", "term").agg(F.sum("absolute_frequency").alias("absolute_frequency"), F.sum("document_frequency").alias("document_frequency"))
     return stacked.withColumnRenamed("grp", group or "grp")
 

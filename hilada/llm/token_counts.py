@@ -20,8 +20,8 @@ from .term_counts import HELD, RUN, WORD
 
 #: Code points that are no tokens.
 BLANK = " \t\n\r\u00a0"
-#: Letters by which pieces are parted among tries; shorter pieces stay whole.
-ROUTE = 3
+#: Letters by which pieces are parted among tries; so many that no part is large, as a part's pieces differ behind them.
+ROUTE = 5
 
 
 class VocabularyTokenizer:
@@ -105,7 +105,8 @@ def token_counts(documents: DataFrame, vocabulary: DataFrame, key: str = "doc_id
 
     Text is NFC-normalized and lower-cased. A listed word is one token, every other code point is one, blanks are none. Only
     pieces whose tokens aren't just their code points need to reach the documents; these are words of the vocabulary. Up to
-    `broadcast_rows` of them (the size is counted) go to all tasks, beyond that documents' pieces are joined by a shuffle.
+    `broadcast_rows` of them (the size is counted) go to all tasks, beyond that documents' pieces are joined by a shuffle and
+    summed for each row by its number: the rows are the same either way, also where a key is null or comes twice.
     Words listed twice, null words and words of one letter or other characters change nothing.
     """
     listed = [r.word for r in vocabulary.where("word is not null").select("word").distinct().collect()]  # a tokenizer's vocabulary: its size is fixed
@@ -138,21 +139,23 @@ def token_counts(documents: DataFrame, vocabulary: DataFrame, key: str = "doc_id
 
     def pieces_of():
         def step(batch: pa.RecordBatch):
-            out: list[list] = [[], [], []]
-            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            out: list[list] = [[], [], [], []]
+            for k, t, number in zip(*(c.to_pylist() for c in batch.columns)):
                 t = _normal(t or "")
                 counted = Counter(RUN.findall(t))
                 rest = len(t) - sum(map(t.count, BLANK)) - sum(len(p) * n for p, n in counted.items())
                 out[0] += [k] * (len(counted) + 1)
                 out[1] += ["", *counted]
                 out[2] += [rest, *counted.values()]
+                out[3] += [number] * (len(counted) + 1)
             yield out
 
         return step
 
-    pieces = arrow_pass(rows, f"key {kind}, piece string, n long", pieces_of)
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    pieces = arrow_pass(numbered, f"key {kind}, piece string, n long, row long", pieces_of)
     tokens = F.when(F.col("piece") == "", F.col("n")).otherwise(F.col("n") * F.coalesce("n_tokens", F.length("piece")))
-    return pieces.join(terminal, "piece", "left").groupBy("key").agg(F.sum(tokens).alias("n_tokens")).withColumnRenamed("key", key)
+    return pieces.join(terminal, "piece", "left").groupBy("row").agg(F.first("key").alias("key"), F.sum(tokens).alias("n_tokens")).select(F.col("key").alias(key), "n_tokens")
 
 
 def token_totals(counts: DataFrame, documents: DataFrame, state: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def test_one_first_term_in_most_suffixes(spark):
 
 @pytest.mark.parametrize(("text", "words"), [("año1 a mar_tierra x² niño’s", ["niño"]), ("ALÍ alì", ["alí"]), ("pingüino", ["pingüino"]), ("coópera", ["coópera"])])
 def test_words(text, words):
-    assert term_counts.words(text) == words and sorted(term_counts._word_counts(text, {})) == sorted(words)
+    assert term_counts.words(text) == words and term_counts._word_list(text, {}) == words
 
 
 def test_marks(spark):
@@ -79,6 +79,9 @@ def test_tokens_equal_a_plain_tokenizer(spark, broadcast_rows):
     texts = [*AWKWARD, "Hola, mundo! holas ho hola1 _de_ de\tde", "año año AÑO dé"]
     got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(documents(spark, texts), vocabulary, broadcast_rows=broadcast_rows).collect()}
     assert got == {i: plain_tokens(t, set(listed)) for i, t in enumerate(texts)}
+    again = spark.createDataFrame([(1, "a"), (1, "hola mundo"), (None, "b c"), (None, "b c"), (1, "a")], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.n_tokens) for r in token_counts.token_counts(again, vocabulary, broadcast_rows=broadcast_rows).collect()))
+    assert got == [(0, 2), (0, 2), (1, 1), (1, 1), (1, 2)]
 
 
 def test_states_go_on_along_prefixes():
@@ -121,6 +124,19 @@ def test_damage_of_a_part_and_pairs_of_encodings(spark):
     assert got == {"t4": science + " La canción del niño", "t5": clean[0], "t6": clean[0], "t7": clean[0], "t8": clean[1]}
 
 
+def test_damage_with_repeated_rows_and_null_ids(spark):
+    clean = ["La canción del niño cambió.", "El año pasado llegó."]
+    bad = [c.encode().decode("cp1252") for c in clean]
+    rows = [("text", "a", clean[0]), ("text", "a", bad[0]), ("text", "a", bad[0]), ("text", None, bad[1]), ("text", None, clean[1]), (None, "b", bad[1])]
+    got = sorted(map(str, map(tuple, mojibake.damaged(spark.createDataFrame(rows, "field string, document_id string, text string")).collect())))
+    assert got == sorted(map(str, [("text", "a", clean[0]), ("text", None, clean[1]), (None, "b", clean[1])]))
+
+
+def test_signs_strewn_over_a_text_are_no_damage(spark):
+    rows = [("text", "a", "tía común y más"), ("text", "b", "t°a po°i °esde °nt d°a ll° q°e °ab")]
+    assert mojibake.damaged(spark.createDataFrame(rows, "field string, document_id string, text string")).collect() == []
+
+
 # leaks
 
 
@@ -156,6 +172,18 @@ def test_case_accents_and_breaks_make_no_difference(spark):
     assert cut == {0: "Antes. . Después.", 1: "nada"} and leakage.without_leaks(items, docs, drop=True).count() == 1
 
 
+def test_cuts_are_the_same_for_any_number_of_items(spark):
+    a = "uno dos tres cuatro cinco seis siete ocho nueve diez"
+    b = "seis siete ocho nueve diez once doce trece catorce quince"
+    items = spark.createDataFrame([(1, a), (2, b)], "item_id long, passage string")
+    text = "Ini\u0301cio_de\r\ntexto, " + a + ", ONCE doce-trece catorce (quince). Fin_de_texto\r\n"
+    texts = [text, "nada _que_ ver\r", None, "", text, a + " y más y más " + a]
+    want = ["Ini\u0301cio_de\r\ntexto, ). Fin_de_texto\r\n", "nada _que_ ver\r", None, "", "Ini\u0301cio_de\r\ntexto, ). Fin_de_texto\r\n", " y más y más "]
+    for block in (100, 1):
+        assert [r.text for r in leakage.without_leaks(items, documents(spark, texts), block=block).orderBy("doc_id").collect()] == want
+        assert len(leakage.without_leaks(items, documents(spark, texts), block=block).columns) == len(documents(spark, texts).columns)
+
+
 # mixing
 
 
@@ -166,7 +194,7 @@ def test_budgets_and_shares(spark):
     assert not budgets[1, "a"].reachable and budgets[1, "b"].reachable and budgets[1, "c"].reachable and budgets[2, "zz"].granted_tokens == 0
     assert sum(b.granted_tokens for (m, _), b in budgets.items() if m == 1) == pytest.approx(1000) and budgets[1, "b"].granted_tokens <= 800
     table = mixing.mix_budgets(targets, mixing.source_profile(tokens))
-    taken = mixing.mix_selection(table, tokens, seed=1, buckets=4).groupBy("source_code").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("t"), F.max("copies").alias("m")).collect()
+    taken = mixing.mix_selection(table, tokens, seed=1, range_tokens=100).groupBy("source_code").agg(F.sum(F.col("copies") * F.col("n_tokens")).alias("t"), F.max("copies").alias("m")).collect()
     for r in taken:
         assert r.t <= budgets[1, r.source_code].granted_tokens + 1e-6 < r.t + 50 and r.m <= budgets[1, r.source_code].max_repeats
 
@@ -179,6 +207,16 @@ def test_selection_is_repeatable(spark):
     assert one == two and len(one) == 50
 
 
+def test_shortages_go_to_siblings_first(spark):
+    targets = spark.createDataFrame([(1, "a", 0.5, 1), (1, "b", 0.2, 9), (1, "c", 0.3, 9)], "mix_id long, source_code string, target_share double, max_repeats int")
+    rows = [(1, "a", "es", "x", 100), (2, "b", "es", "x", 450), (3, "c", "es", "y", 300), (4, "c", "pt", "y", 150)]
+    tokens = spark.createDataFrame(rows, "doc_id long, source string, language string, domain string, n_tokens long")
+    got = {(r.source_code, r.language): r for r in mixing.mix_budgets(targets, mixing.source_profile(tokens)).collect()}
+    assert not got["a", "es"].reachable and got["a", "es"].granted_tokens == 100
+    assert got["b", "es"].granted_tokens == pytest.approx(200 + 400)  # the sibling in domain x takes all that a lacks
+    assert got["c", "es"].granted_tokens == pytest.approx(200) and got["c", "pt"].granted_tokens == pytest.approx(100)
+
+
 # prose or not
 
 PROSE = "La mañana llegó sin prisa y el maestro abrió la puerta de la escuela. Los niños entraron con sus libros, hablaron de la fiesta y se sentaron. Más tarde, la lluvia cambió el plan de todos; nadie se quejó de eso en el pueblo.\n\nAl final del día, el vecino más viejo contó la historia del río. Todos la conocían, pero la escucharon otra vez con mucha paciencia y algo de sueño."
