@@ -151,7 +151,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.text_statistics(_documents(spark, sf_dir))
+    return quality.text_statistics(_documents(spark, sf_dir)).withColumn("failures", F.array_join("failures", "; "))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

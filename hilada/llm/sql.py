@@ -51,7 +51,34 @@ CLEANED_7 = f"""WITH i AS (SELECT DISTINCT item_id, {BARE.format("passage")} AS
  cut AS (SELECT n.doc_id, sum(length(p)) AS lost FROM numbered n WHERE EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = n.doc_id AND g.w = n.w) AND (word OR EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = n.doc_id AND g.w = n.w + 1)) GROUP BY n.doc_id)
 SELECT doc_id, (length(text) - coalesce(lost, 0))::BIGINT AS n_chars FROM documents LEFT JOIN cut USING (doc_id)"""
 
+LINES = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{0085}\x{2028}\x{2029}]"
+BLANKS = r"\x09-\x0d\x1c-\x20\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+STRIPPED = f"regexp_replace(l, '^[{BLANKS}]+|[{BLANKS}]+$', '', 'g')"
+STATISTICS_5 = rf"""WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents),
+ wl AS (SELECT doc_id, lang, text, regexp_extract_all(text, '\p{{L}}+') AS ws FROM t), one AS (SELECT doc_id, lang, unnest(list_distinct(list_transform(ws, lambda w: lower(w)))) AS word FROM wl WHERE lang <> ''),
+ sizes AS (SELECT lang, count(*) AS texts FROM t WHERE lang <> '' AND text <> '' GROUP BY lang HAVING count(*) >= 2), common AS (SELECT lang, word FROM (SELECT lang, word, count(*) AS n FROM one GROUP BY ALL) JOIN sizes USING (lang) WHERE n >= 2 AND n >= 0.25 * texts),
+ hits AS (SELECT doc_id, l, count(*) AS n FROM (SELECT doc_id, unnest(list_transform(ws, lambda w: lower(w))) AS word FROM wl) JOIN (SELECT lang AS l, word FROM common) USING (word) GROUP BY ALL), best AS (SELECT doc_id, max(n) AS n FROM hits GROUP BY doc_id),
+ l0 AS (SELECT doc_id, list_transform(regexp_split_to_array(text, '{LINES}'), lambda l: {STRIPPED}) AS ls FROM t), l1 AS (SELECT doc_id, CASE WHEN ls[-1] = '' THEN ls[:-2] ELSE ls END AS ls FROM l0), l2 AS (SELECT *, list_filter(ls, lambda l: l <> '') AS fl FROM l1),
+ rep AS (SELECT doc_id, sum(n) AS r FROM (SELECT doc_id, line, count(*) AS n FROM (SELECT doc_id, unnest(fl) AS line FROM l2) WHERE length(line) >= 5 GROUP BY ALL HAVING count(*) >= 3) GROUP BY doc_id),
+ m AS (SELECT doc_id, length(text)::BIGINT AS character_count, len(ws)::BIGINT AS word_count, len(ls)::BIGINT AS line_count, len(fl)::BIGINT AS non_empty_line_count, len(regexp_extract_all(text, '\x{{fffd}}'))::BIGINT AS replacement_character_count,
+ (length(text) - length(replace(text, chr(0), '')))::BIGINT AS null_character_count, len(regexp_extract_all(text, '[\x01-\x08\x0b\x0c\x0e-\x1f\x7f]'))::BIGINT AS control_character_count,
+ len(regexp_extract_all(text, '(?i)\[\[P[ÁA]GINA[{BLANKS}]+\p{{Nd}}+\]\]'))::BIGINT AS page_marker_count, len(regexp_extract_all(text, '\p{{L}}-\r?\n'))::BIGINT AS hyphenated_line_break_count,
+ len(list_filter(fl, lambda l: length(l) > 400))::BIGINT AS long_line_count, coalesce(len(regexp_extract_all(text, '[^\p{{L}}\p{{N}}_{BLANKS}.,;:¿?¡!()«»“”"''’—–…·\x{{0300}}-\x{{036f}}\-]'))::DOUBLE / nullif(length(text), 0), 0) AS symbol_ratio,
+ coalesce(len(list_filter(fl, lambda l: regexp_full_match(l, '[{BLANKS}\p{{Nd}}\x{{00b2}}\x{{00b3}}\x{{00b9}}.,:;()–—\-]+') AND regexp_matches(l, '[\p{{Nd}}\x{{00b2}}\x{{00b3}}\x{{00b9}}]')))::DOUBLE / nullif(len(fl), 0), 0) AS numeric_line_ratio,
+ coalesce(coalesce(r, 0)::DOUBLE / nullif(len(fl), 0), 0) AS repeated_line_ratio,
+ coalesce(len(list_filter(fl, lambda l: len(regexp_extract_all(l, '\p{{L}}')) >= 5 AND len(regexp_extract_all(l, '\p{{Lu}}')) >= 0.9 * len(regexp_extract_all(l, '\p{{L}}'))))::DOUBLE / nullif(len(fl), 0), 0) AS uppercase_line_ratio,
+ coalesce(len(list_filter(fl, lambda l: length(l) <= 25))::DOUBLE / nullif(len(fl), 0), 0) AS short_line_ratio, coalesce(list_sum(list_transform(ws, lambda w: length(w)))::DOUBLE / nullif(len(ws), 0), 0) AS mean_word_length,
+ coalesce(len(regexp_extract_all(text, '[0-9]'))::DOUBLE / nullif(length(text), 0), 0) AS digit_ratio, coalesce(len(list_filter(fl, lambda l: regexp_matches(l, '[.!?…:;»”"]$')))::DOUBLE / nullif(len(fl), 0), 0) AS punctuated_line_ratio,
+ coalesce(len(list_filter(fl, lambda l: regexp_matches(l, '^(?:[-*•·–]|[0-9]{{1,3}}[.)]|[a-z][.)])[ \t\x{{00a0}}]')))::DOUBLE / nullif(len(fl), 0), 0) AS bullet_line_ratio, coalesce(len(list_filter(fl, lambda l: regexp_matches(l, '(?:…|\.\.\.)$')))::DOUBLE / nullif(len(fl), 0), 0) AS ellipsis_line_ratio,
+ coalesce((SELECT count(*) FILTER (regexp_matches(p, '\p{{L}}'))::DOUBLE / nullif(count(*), 0) FROM (SELECT unnest(regexp_split_to_array(text, '[{BLANKS}]+')) AS p) WHERE p <> ''), 0) AS alphabetic_word_ratio,
+ CASE WHEN lang <> '' AND lang NOT IN (SELECT lang FROM common) THEN NULL ELSE coalesce(coalesce(best.n, 0)::DOUBLE / nullif(len(ws), 0), 0) END AS common_word_ratio,
+ coalesce(100.0::DOUBLE * len(regexp_extract_all(text || ' ', '[.!?…][{BLANKS}"”»]')) / nullif(len(ws), 0), 0) AS sentences_per_100_words FROM wl JOIN l2 USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN best USING (doc_id))
+SELECT *, CASE WHEN non_empty_line_count = 0 THEN '' ELSE array_to_string(list_filter([CASE WHEN mean_word_length < 3 OR mean_word_length > 10 THEN 'mean word length' END, CASE WHEN symbol_ratio > 0.1::DOUBLE THEN 'symbols' END, CASE WHEN alphabetic_word_ratio < 0.8::DOUBLE THEN 'words without letters' END,
+ CASE WHEN bullet_line_ratio > 0.9::DOUBLE THEN 'bullets' END, CASE WHEN ellipsis_line_ratio > 0.3::DOUBLE THEN 'ellipses' END, CASE WHEN digit_ratio > 0.2::DOUBLE THEN 'digits' END, CASE WHEN repeated_line_ratio > 0.5::DOUBLE AND non_empty_line_count >= 3 THEN 'repeated lines' END,
+ CASE WHEN numeric_line_ratio > 0.3::DOUBLE THEN 'numeric lines' END, CASE WHEN common_word_ratio < 0.12::DOUBLE THEN 'common words' END, CASE WHEN sentences_per_100_words < 2.5::DOUBLE THEN 'too few sentences' END, CASE WHEN sentences_per_100_words > 16 THEN 'too many sentence ends' END], lambda x: x IS NOT NULL), '; ') END AS failures FROM m"""
+
 SQL = {
+    "p5_statistics": STATISTICS_5,
     "p7_cleaned": CLEANED_7,
     "p2_phrases": PHRASES_2,
     "p2_found": FOUND_2,
