@@ -77,9 +77,7 @@ SAMPLE = 400
 
 def _no_prose(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id of the documents found by p5 or p9, as a table."""
-    documents = _documents(spark, sf_dir)
-    found = residue.residue(documents).select("doc_id").unionByName(quality.unnatural(documents).select("doc_id"))
-    return written(found.distinct())
+    return written(residue.no_prose(_documents(spark, sf_dir)))
 
 
 def _language_model(texts: DataFrame, pieces: str = PIECES, sample: int = SAMPLE) -> language.Model:
@@ -142,12 +140,11 @@ def _residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(_documents(spark, sf_dir))
 
 
-def _unnatural(spark: SparkSession, sf_dir: str, found: DataFrame) -> DataFrame:
-    return quality.unnatural(_documents(spark, sf_dir)).join(found, "doc_id", "left_anti")
-
-
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unnatural(spark, sf_dir, _residue(spark, sf_dir).select("doc_id")).select("doc_id").distinct()
+    """Texts that fail a rule and aren't residue; one pass gives both."""
+    documents = _documents(spark, sf_dir)
+    found = written(residue.templates_of(documents, quality.common_words(documents)))
+    return found.where("template is null").select("doc_id").distinct().join(residue.judged(found), "doc_id", "left_anti")
 
 
 def p5_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Template residue and error pages: unfilled placeholders, filler, error messages, notices that scripts are required.
 
-The title, menus and the footer of a record are set aside; the rest is cut into units (lines and sentences). Units of the same
-template are aligned: what can vary (names, numbers, values after a label, placeholders) is a slot, the rest must be equal. Over
-the whole corpus each slot's fillers are counted; a template whose slots mostly keep variable names, default values or blanks is
-residue. So are templates of messages, filler, and units that pages with different titles share as their whole content, if most
-of what holds such a unit is a page of that kind. A record is residue where at least half of its content is.
+The title, menus and the footer of a record are set aside; the rest is cut into units (lines and sentences). Units of equal
+skeleton are aligned over the corpus: what varies between them (names, numbers, values after a label, placeholders) is a slot,
+the rest must be equal. Slots are known as unfilled by the notation of a variable or default, and besides by what the aligned
+records show: names in an unknown notation that keep a slot open in several records, and a value that fills slots of several
+labels. A template whose slots mostly stay unfilled is residue. So are templates of messages, filler, and units that pages with
+different titles share as their whole content, if most of what holds such a unit is a page of that kind. A record is residue
+where at least half of its content is.
 """
 
 from __future__ import annotations
@@ -13,12 +15,15 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_pass, written
+from .quality import _names, common_words, failed, measured
+from .vectors import Texts, groups, skeletons
 
 #: A variable name in the marks of a template language.
 VARIABLE = r"\$\{[^}\n]{1,40}\}|\{\{[^}\n]{1,40}\}\}|\{[\w. ]{1,40}\}|<%=?[^%\n]{1,40}%>|\[\[[\w. ]{1,40}\]\]|%[A-Za-z_.]{2,40}%|@@\w[\w.]{0,40}?@@|__[^\W_][\w.]{0,40}?__|#[A-Za-z_.]{2,40}#|«[\w.]{2,40}»"
@@ -27,18 +32,20 @@ DEFAULT = r"\[object Object\]|Invalid Date|\bundefined\b|\bnull\b|\bNone\b|\bNaN
 RESIDUE = re.compile(f"{VARIABLE}|{DEFAULT}")
 PAGE_MARK = re.compile(r"\[\[P[ÁA]GINA\s+\d+\]\]", re.I)
 LABELLED = re.compile(r"(?<![\w])([^\W\d_][\w ]{1,30}):[ \t]*([^·|;\n]*)")
-OTHER = re.compile(r"\d+(?:[.,]\d+)*|(?<=[a-záéíóúñ,] )[A-ZÁÉÍÓÚÑ]\w+")
 
-# Phrases of messages that stand for a missing page or ask for scripts, and of filler text.
+#: A name between signs, or behind one, in a notation that isn't known; the aligned records tell whether it is a variable.
+ODD = re.compile(r"(?<!\S)[^\w\s,.;()'\"“”‘’¿¡—–\-]{1,3}[^\W\d_][\w.]{1,40}[^\w\s,.;()'\"“”‘’?!—–\-]{0,3}(?=[\s,.;)]|$)")
+
+# What messages of servers and of pages that need scripts speak of, in six languages; they decide only for units that
+# the corpus has no other evidence of.
 PHRASES = (
-    "javascript", "cookies", "secuencias de comandos", "ejecución de código", "su navegador", "seu navegador", "your browser", "tuo browser", "votre navigateur", "you are human", "é uma pessoa", "un robot", "um robô", "a robot",
-    "redirigid", "automatically", "pulse aquí", "este servidor", "upstream host", "gateway", "timeout", "no se pud", "no pudo", "no pude", "be found", "be loaded", "be located", "be opened", "be shown", "be read", "not found",
-    "no existe", "not exist", "não existe", "existe pas", "existe plus", "non esiste", "no existeix", "ya no está", "fuera de servicio", "out of service", "fora de serviço", "hors service", "fuori servizio", "mantenimiento",
-    "for maintenance", "manutenção", "manutenzione", "tardó demasiado", "took too long", "demorou dema", "mis trop de temps", "impiegato troppo", "closed to you", "no tiene permiso", "not allowed", "acesso negado", "access denied",
-    "accès refusé", "accès interdit", "accesso negato", "accés denegat", "sesión caducó", "sesión ha caducado", "session expired", "session has", "session a expiré", "sessione scaduta", "sessão expirou", "sign in again", "log in again", "pudimos encontrar", "não encontramos", "could not find", "couldn't find", "identificarse", "al administrador", "the administrator", "a la portada", "the home page", "ao início",
-    "à l'accueil", "alla home", "demasiadas peticiones", "too many requests", "base de datos falló", "fallo interno", "erro interno", "internal failure", "internal error", "movido o eliminado", "was removed", "fue retirado",
-    "foi removid", "gone away", "inexistente", "nothing lives", "não pôde", "não foi possível", "não respondeu", "n'a pas pu", "non è stato possibile", "no s'ha pogut", "indisponível", "indisponible", "no disponible", "unavailable",
-    "introuvable", "intente más tarde", "try again", "try later", "pruebe de nuevo", "tente de novo", "tente mais", "riprova", "réessayez", "su visor", "actualice el", "requiere que", "switch on", "turn on", "turn off", "turned on", "turned off",
+    "javascript", "cookies", "secuencias de comandos", "ejecución de código", "su navegador", "seu navegador", "your browser", "tuo browser", "votre navigateur", "are human", "uma pessoa", "un robot", "um robô", "a robot", "redirigid",
+    "automatically", "pulse aquí", "este servidor", "upstream", "gateway", "timeout", "no se pud", "no pudo", "no pudimos", "não pôde", "não foi possível", "n'a pas pu", "non è stato possibile", "no s'ha pogut", "could not", "couldn't", "cannot be",
+    "be loaded", "not found", "no existe", "not exist", "não existe", "existe pas", "existe plus", "non esiste", "ya no está", "de servicio", "of service", "de serviço", "hors service", "fuori servizio", "mantenimiento", "maintenance",
+    "manutenção", "manutenzione", "tardó demasiado", "took too long", "demorou dema", "trop de temps", "closed to you", "no tiene permiso", "not allowed", "access denied", "acesso negado", "accès refusé", "accesso negato", "accés denegat",
+    "sesión caducó", "sesión ha caducado", "session expired", "session has", "session a expiré", "sessione scaduta", "sessão expirou", "log in again", "sign in again", "identificarse", "administrador", "administrator", "a la portada", "home page",
+    "demasiadas peticiones", "too many requests", "base de datos falló", "fallo interno", "erro interno", "internal", "eliminado", "was removed", "retirado", "foi removid", "gone away", "inexistente", "nothing lives", "no disponible",
+    "unavailable", "indispon", "introuvable", "intente más tarde", "try again", "pruebe de nuevo", "tente de novo", "riprova", "réessayez", "su visor", "requiere que", "turn on", "turned on", "switch on", "turn off", "turned off",
 )
 NUMBERED = re.compile(r"\b(?:js|scripts?|scripting|error|erro|errore|erreur)\b|\bnodo-\d|\b(?:ref|id)[.:] ?[0-9a-f]{6}|\b[45]\d\d[:.)]")
 FILLER = re.compile(
@@ -48,7 +55,7 @@ FILLER = re.compile(
 )
 LATIN = frozenset(
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure "
-    "reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit anim est laborum vitae mauris risus augue urna nunc turpis ligula felis porta pharetra ornare vel orbita vestum calumen dictor vestibulum".split()
+    "reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint occaecat cupidatat proident culpa officia deserunt mollit anim est laborum vitae mauris risus augue urna nunc turpis ligula felis porta pharetra ornare vel vestibulum".split()
 )
 TRACE = re.compile(r"^\s+at \S+\(\S*:\d+\)\s*$")
 FOOTER = re.compile(r"^\s*(?:©|\(c\)|copyright\b)", re.I)
@@ -102,17 +109,23 @@ def _marked(text: str) -> bool:
     return any(map(text.__contains__, MARKS))
 
 
-def template(unit: str) -> tuple[str, int, int]:
-    """What must be equal of a unit, and how many of its slots keep residue or hold something else."""
-    kept = filled = 0
+def masked(unit: str) -> tuple[str, int, int, int, list[tuple[str, str]]]:
+    """The unit with ~ for what may be a slot; how many slots keep residue, have a value, or hold a name in an unknown notation;
+    and the labels with their values."""
+    kept = filled = odd = 0
+    pairs: list[tuple[str, str]] = []
 
     def label(m: re.Match) -> str:
-        nonlocal kept, filled
+        nonlocal kept, filled, odd
         value = m[2].strip()
         if not value or RESIDUE.search(value):
             kept += max(1, len(RESIDUE.findall(value)))
+        elif ODD.search(value):
+            odd += 1
         else:
             filled += 1
+            if value[0].islower() and not any(map(str.isdigit, value)):
+                pairs.append((m[1].lower(), value))
         return f"{m[1]}: ~ "
 
     def slot(m: re.Match) -> str:
@@ -120,14 +133,30 @@ def template(unit: str) -> tuple[str, int, int]:
         kept += 1
         return "~"
 
-    def other(m: re.Match) -> str:
-        nonlocal filled
-        filled += 1
+    def name(m: re.Match) -> str:
+        nonlocal odd
+        odd += 1
         return "~"
 
-    labelled = LABELLED.sub(label, unit) if ":" in unit and len(unit) < 200 and LABELLED.match(unit) else unit
-    key = OTHER.sub(other, RESIDUE.sub(slot, labelled) if _marked(labelled) else labelled)
-    return " ".join(key.lower().split()), kept, filled
+    out = LABELLED.sub(label, unit) if ":" in unit and LABELLED.match(unit) else unit
+    if _marked(out):
+        out = RESIDUE.sub(slot, out)
+    return ODD.sub(name, out), kept, filled, odd, pairs
+
+
+#: Signs one of which is in every unit that has anything to mask.
+SIGN = re.compile(r"[:{}<\[@#%«$~&^*+=\\|/]|__|undefined|null|None|NaN|Invalid|\(sin|\(por|XXX")
+
+
+def templates(units: list[str]) -> tuple[list[int], list[int], list[int], list[int], list[bool], list[list[tuple[str, str]]]]:
+    """Of each unit: the hash of its template, its unfilled, filled and odd slots, whether it has more words than slots, its values."""
+    marked = {i: masked(u) for i, u in enumerate(units) if SIGN.search(u)}
+    hashes, words, slots = skeletons([marked[i][0] if i in marked else u for i, u in enumerate(units)])
+    kept, filled, odd = [0] * len(units), slots.tolist(), [0] * len(units)
+    values: list[list[tuple[str, str]]] = [[] for _ in units]
+    for i, (_, k, f, o, pairs) in marked.items():
+        kept[i], filled[i], odd[i], values[i] = k, max(f, filled[i] - k - o), o, pairs
+    return hashes.tolist(), kept, filled, odd, (words > slots).tolist(), values
 
 
 def is_message(low: str) -> bool:
@@ -135,10 +164,15 @@ def is_message(low: str) -> bool:
     return any(map(low.__contains__, PHRASES)) or NUMBERED.search(low) is not None
 
 
+def _hits(low: str) -> int:
+    """How many phrases, codes and references of messages are in a lower-cased unit."""
+    return sum(map(low.__contains__, PHRASES)) + len(NUMBERED.findall(low))
+
+
 def says_nothing(unit: str, times: int, distinct: int) -> bool:
     """Messages, filler and traces, by themselves."""
     low = unit.lower()
-    if is_message(low) or TRACE.match(unit) or any(map(low.__contains__, FILLERS)) and FILLER.search(low):
+    if len(low.split()) <= 30 * _hits(low) or TRACE.match(unit) or any(map(low.__contains__, FILLERS)) and FILLER.search(low):
         return True
     found = LETTERS.findall(low)
     if len(found) >= 4 and sum(w in LATIN for w in found) >= 0.6 * len(found):
@@ -159,55 +193,101 @@ def _doubtful(found: list[list[str]]) -> list[bool]:
     return [s or sum(map(LATIN_BYTES.__contains__, l.encode().translate(ASCII_LETTERS).split())) >= 3 for l, s in zip(low, suspect)]  # 0.6 of four words
 
 
-def _hash(text: str, size: int) -> bytes:
-    return hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=size).digest()
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+FOUND = "doc_id long, template long, chars long, kept long, filled long, odd long, says_nothing boolean, page long, head long, content long, pairs array<long>, unnatural array<string>"
 
 
-def templates_of(documents: DataFrame) -> DataFrame:
-    """Rows (doc_id, template, chars, kept, filled, says_nothing, page, head, content) of all texts, of any length.
+def templates_of(documents: DataFrame, common: dict[str, np.ndarray] | None = None) -> DataFrame:
+    """Rows FOUND of all texts, of any length: one for each template of a document.
 
     A template stands as its hash. page is a hash of title and units, so that copies are one page; head of the title, or of the
     first unit where there is none, as versions of one text have the same, null where a template has not more words than slots
-    (rows of figures are alike without sharing anything); content is the number of code points of all units.
+    (rows of figures are alike without sharing anything); content is the number of code points of all units; pairs has, for each
+    labelled value, hashes of label and value. With `common` (see quality.common_words) the same pass also judges the texts by the
+    rules of quality: a text that fails some has a row more, without a template, with their names.
     """
+    shared = documents.sparkSession.sparkContext.broadcast(common)
+    lang = F.col("lang") if "lang" in documents.columns else F.lit(None).cast("string")
 
     def start():
+        known = shared.value
+
         def step(batch: pa.RecordBatch):
-            out: list[list] = [[] for _ in range(9)]
-            cut = [_cut(text) for text in batch.column(1).to_pylist()]
-            for doc, (title, found), suspect in zip(batch.column(0).to_pylist(), cut, _doubtful([u for _, u in cut])):
+            ids, texts, languages = (c.to_pylist() for c in batch.columns)
+            for a, b in groups(texts):
+                yield from of(ids[a:b], texts[a:b], languages[a:b])
+
+        def of(ids: list[int], texts: list[str], languages: list[str | None]):
+            out: list[list] = [[] for _ in FOUND.split(", ")]
+            cut = [_cut(text) for text in texts]
+            times = [Counter(u) for _, u in cut]
+            every = [u for t in times for u in t]
+            at = 0
+            hashes, kept, filled, odd, wordy, values = templates(every)
+            for doc, (title, found), counted, suspect in zip(ids, cut, times, _doubtful([u for _, u in cut])):
                 if not found:
                     continue
-                times = Counter(found)
-                page, head, content = _hash("\n".join([title, *found]), 8), _hash(" ".join(LETTERS.findall(title.lower())) or found[0].lower(), 8), sum(map(len, found))
-                rows: dict[str, list] = {}
-                for unit, n in times.items():
-                    key, kept, filled = template(unit)
-                    row = rows.setdefault(key, [0, 0, 0, False])
-                    for k, value in enumerate((n * len(unit), n * kept, n * filled)):
+                page, head, content = _hash("\n".join([title, *found])), _hash(" ".join(LETTERS.findall(title.lower())) or found[0].lower()), sum(map(len, found))
+                rows: dict[int, list] = {}
+                for unit, n in counted.items():
+                    row = rows.setdefault(hashes[at], [0, 0, 0, 0, False, wordy[at], []])
+                    for k, value in enumerate((n * len(unit), n * kept[at], n * filled[at], n * odd[at])):
                         row[k] += value
-                    row[3] |= (suspect or len(times) == 1) and says_nothing(unit, n, len(times))
+                    row[4] |= (suspect or len(counted) == 1) and says_nothing(unit, n, len(counted))
+                    for label, value in values[at]:
+                        row[6] += [_hash(label), _hash(value)]
+                    at += 1
                 for key, row in rows.items():
-                    for column, value in zip(out, (doc, _hash(key, 16), *row, page, head if len(LETTERS.findall(key)) > key.count("~") else None, content)):
+                    for column, value in zip(out, (doc, key, *row[:5], page, head if row[5] else None, content, row[6] or None, None)):
+                        column.append(value)
+            if known is not None:
+                rules = failed(measured(Texts(texts), languages, known))
+                for i in np.flatnonzero(np.any(list(rules.values()), axis=0)):
+                    for column, value in zip(out, (ids[i], *[None] * 10, _names(rules, i))):
                         column.append(value)
             yield out
 
         return step
 
-    rows = documents.where("text is not null").select("doc_id", "text")
-    return arrow_pass(rows, "doc_id long, template binary, chars long, kept long, filled long, says_nothing boolean, page binary, head binary, content long", start)
+    rows = documents.where("text is not null").select("doc_id", "text", lang.alias("lang"))
+    return arrow_pass(rows, FOUND, start)
+
+
+def _defaults(found: DataFrame, shared_by: int) -> DataFrame:
+    """Rows (value): values that each of `shared_by` labels or more has on so many pages. What is true of a record fits one label."""
+    pair = F.explode(F.sequence(F.lit(0), (F.size("pairs") / 2 - 1).cast("int")))
+    each = found.where("pairs is not null").select("page", "pairs", pair.alias("i")).select("page", F.get("pairs", F.col("i") * 2).alias("label"), F.get("pairs", F.col("i") * 2 + 1).alias("value"))
+    held = each.distinct().groupBy("label", "value").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= shared_by)
+    return held.groupBy("value").agg(F.count(F.lit(1)).alias("labels")).where(F.col("labels") >= shared_by).select("value")
+
+
+def aligned(found: DataFrame, shared_by: int = 3) -> DataFrame:
+    """found with the slots that the aligned records show to be unfilled counted as such: values that are defaults."""
+    labelled = found.where("pairs is not null").select("doc_id", "template", "page", F.explode("pairs").alias("value"))
+    kept = labelled.join(_defaults(found, shared_by), "value", "left_semi").groupBy("doc_id", "template", "page").agg(F.count(F.lit(1)).alias("more"))
+    kept = written(kept)  # few, and often none
+    joined = found.join(kept, ["doc_id", "template", "page"], "left").withColumn("more", F.coalesce("more", F.lit(0)))
+    return joined.withColumn("kept", F.col("kept") + F.col("more")).withColumn("filled", F.greatest(F.col("filled") - F.col("more"), F.lit(0))).drop("more")
 
 
 def induced(found: DataFrame, shared_by: int = 3, share: float = 0.5) -> DataFrame:
     """Of each template of the corpus: whether it is residue, and the reason. One row for each template that is.
 
-    Templates that at least `shared_by` heads hold are common. A page is shared where at least `share` of its content is common
-    and so many heads have pages with the same common templates; lists of common entries differ in them. A template is residue
-    where so many heads, and at least `share` of all heads that hold it in a text of any length, have shared pages with it.
-    Copies and versions of one text have one head, so they share nothing.
+    Unfilled slots: at least as many of the template's slots over all records are unfilled as filled; names in an unknown notation
+    count as unfilled where `shared_by` records under more than one head keep one. Templates that at least `shared_by` heads hold
+    are common. A page is shared where at least `share` of its content is common and so many heads have pages with the same common
+    templates; lists of common entries differ in them. A template is residue where so many heads, and at least `share` of all heads
+    that hold it in a text of any length, have shared pages with it. Copies and versions of one text have one head, so they share
+    nothing.
     """
-    stats = found.groupBy("template").agg(F.sum("kept").alias("kept"), F.sum("filled").alias("filled"), F.max("says_nothing").alias("says_nothing"), F.count("*").alias("records"))
-    reason = F.when((F.col("kept") > 0) & (F.col("kept") >= F.col("filled")), "unfilled slots").when(F.col("says_nothing"), "message or filler")
+    kept = F.sum("kept").alias("kept")
+    stats = found.groupBy("template").agg(kept, F.sum("filled").alias("filled"), F.sum("odd").alias("odd"), F.count_if(F.col("odd") > 0).alias("odd_records"), F.min("head").alias("h0"), F.max("head").alias("h1"), F.max("says_nothing").alias("says_nothing"), F.count("*").alias("records"))
+    variables = F.when((F.col("odd_records") >= shared_by) & (F.col("h0") != F.col("h1")), F.col("odd")).otherwise(0)
+    unfilled = (F.col("kept") + variables > 0) & (F.col("kept") + variables >= F.col("filled"))
+    reason = F.when(F.col("says_nothing"), "message or filler").when(unfilled, "unfilled slots")
     stats = written(stats.withColumn("reason", reason).where((F.col("reason").isNotNull()) | (F.col("records") >= shared_by)).select("template", "reason"))
 
     units = found.where("head is not null").join(stats.where("reason is null"), "template", "left_semi").select("template", "page", "head", "chars", "content").distinct()
@@ -222,17 +302,28 @@ def induced(found: DataFrame, shared_by: int = 3, share: float = 0.5) -> DataFra
     return stats.where("reason is not null").unionByName(shared)
 
 
+def judged(found: DataFrame, share: float = 0.5, shared_by: int = 3) -> DataFrame:
+    """residue() of rows of templates_of."""
+    units = aligned(found.where("template is not null"), shared_by)
+    rows = units.join(induced(units, shared_by, share), "template", "left")
+    rows = rows.withColumn("reason", F.when((F.col("reason") != "unfilled slots") | (F.col("kept") + F.col("odd") > 0), F.col("reason")))  # a filled slot is content
+    bad = F.sum(F.when(F.col("reason").isNotNull(), F.col("chars")).otherwise(0))
+    shares = rows.groupBy("doc_id").agg(F.try_divide(bad, F.sum("chars")).alias("residue_share"), F.sort_array(F.collect_set("reason")).alias("reasons"))
+    return shares.where(F.col("residue_share") >= share)
+
+
 def residue(documents: DataFrame, share: float = 0.5, shared_by: int = 3) -> DataFrame:
     """Rows (doc_id, residue_share, reasons): records of whose content at least `share` is template residue.
 
     Null and empty texts, and texts of nothing but titles and menus, are no case. Repeated rows of a doc_id count together.
     """
-    found = written(templates_of(documents))
-    judged = found.join(induced(found, shared_by, share), "template", "left")
-    judged = judged.withColumn("reason", F.when((F.col("reason") != "unfilled slots") | (F.col("kept") > 0), F.col("reason")))  # a filled slot is content
-    bad = F.sum(F.when(F.col("reason").isNotNull(), F.col("chars")).otherwise(0))
-    shares = judged.groupBy("doc_id").agg(F.try_divide(bad, F.sum("chars")).alias("residue_share"), F.sort_array(F.collect_set("reason")).alias("reasons"))
-    return shares.where(F.col("residue_share") >= share)
+    return judged(written(templates_of(documents)), share, shared_by)
+
+
+def no_prose(documents: DataFrame, share: float = 0.5, shared_by: int = 3) -> DataFrame:
+    """doc_id of what residue or quality.unnatural finds, with one pass over the texts besides that for the common words."""
+    found = written(templates_of(documents, common_words(documents)))
+    return judged(found, share, shared_by).select("doc_id").unionByName(found.where("template is null").select("doc_id")).distinct()
 
 
 def without_residue(documents: DataFrame, share: float = 0.5) -> DataFrame:

@@ -270,8 +270,57 @@ def test_pages_that_share_their_content(spark):
 
 
 def test_filled_and_unfilled_slots_align():
-    assert residue.template("Editor: {autor}")[0] == residue.template("Editor: Pérez")[0] == residue.template("Editor: ")[0]
-    assert residue.template("Editor: {autor}")[1:] == (1, 0) and residue.template("Editor: Pérez")[1:] == (0, 1) and residue.template("Editor:")[1:] == (1, 0)
+    hashes, kept, filled, odd, _, values = residue.templates(["Editor: {autor}", "Editor: Pérez", "Editor: ", "Editor: $autor", "El libro de {x}, 12", "El libro de Juan, 7", "3 4", "3 4 5", "~"])
+    assert len(set(hashes[:4])) == 1 and hashes[4] == hashes[5] and len(set(hashes[6:])) == 3
+    assert (kept[:4], filled[:4], odd[:4]) == ([1, 0, 1, 0], [0, 1, 0, 0], [0, 0, 0, 1]) and values[1] == []
+
+
+def test_unknown_notations_and_defaults_show_in_aligned_records(spark):
+    forms = [f"Registro {name}\n\nEste libro de $nombre salió en $lugar y lo guarda :casa: con ~CAMPO~ dentro." for name in ("Sol", "Mar", "Luz", "Voz")]
+    labels = [f"Ficha {name}\n\nAutor: pendiente\nLugar: pendiente\nEditor: pendiente" for name in ("uno", "dos", "tres")]
+    real = [f"Ficha {name}\n\nAutor: {a}\nLugar: {b}\nEditor: {c}" for name, a, b, c in (("cuatro", "anónimo", "costa", "imprenta vieja"), ("cinco", "anónimo", "sierra", "taller"), ("seis", "anónimo", "llano", "casa"))]
+    lone = ["Este otro texto de $nombre es el único de su forma, y por eso no dice nada de $lugar ni de :casa: alguna."]
+    got = {r.doc_id for r in residue.residue(documents(spark, [*forms, *labels, *real, *lone, PROSE])).collect()}
+    assert got == set(range(7))
+
+
+@pytest.mark.parametrize("size", [380, 420, 520, 650, 2000, 5000])
+def test_size_makes_no_difference(spark, size):
+    draw = random.Random(size)
+    message = ("El servidor de la biblioteca no respondió a tiempo y la página no existe. " * 80)[:size].rpartition(".")[0] + "."
+    words = ["".join(draw.choices("aeiolnrst", k=7)) for _ in range(400)]
+    page = " ".join(f"{' '.join(draw.choices(words, k=9)).capitalize()}." for _ in range(80))[:size].rpartition(".")[0] + "."
+    got = {r.doc_id for r in residue.residue(documents(spark, [message, *(f"Entrada {n}\n\n{page}" for n in ("sol", "mar", "luz")), PROSE])).collect()}
+    assert got == {0, 1, 2, 3}
+
+
+def test_kept_documents_by_a_stated_rule(spark):
+    texts = [*(f"Entrada {n}\n\nBla bla bla." for n in "abc"), "Autor: {x}", PROSE, None, ""]
+    kept = residue.without_residue(documents(spark, texts))
+    assert {r.doc_id for r in kept.collect()} == {4, 5, 6} and kept.columns == documents(spark, texts).columns
+
+
+def test_short_lists_and_other_languages(spark):
+    german = ["Der Hund läuft durch die Stadt und der Mann sieht ihn nicht. Die Frau ist in dem Haus und liest das Buch.", "Die Stadt ist alt und das Haus ist neu. Der Mann geht in die Stadt und die Frau liest.", "Das Buch ist gut und der Mann liest es in dem Haus. Die Frau geht durch die Stadt und sieht den Hund."]
+    polish = ["To jest dom i nie ma w nim psa. Kobieta czyta w domu, a pies jest na ulicy i nie wraca.", "W mieście jest dom i na ulicy jest pies. Nie ma tu kobiety, to jest stary dom."]
+    lists = ["Madrid Barcelona Sevilla Valencia", "rojo azul verde negro blanco gris rosa ocre", "- pan\n- sal\n- ajo\n- uva"]
+    texts = [(0, t, "de") for t in german] + [(1, t, "pl") for t in polish] + [(2, "Solo un texto en esta lengua rara, que no conoce nadie. No hay otro.", "xx")] + [(3, t, "es") for t in [PROSE, PROSE.upper(), *lists]]
+    rows = spark.createDataFrame([(i, t, l) for i, (_, t, l) in enumerate(texts)], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in quality.unnatural(rows).collect()} == {8, 9, 10}
+
+
+def test_measures_equal_plain_ones(spark):
+    draw = random.Random(9)
+    for text in ["".join(draw.choices("aÁb 1.,\n\r\t-…»²~ñ\u2028_", k=300)) for _ in range(8)]:
+        row = quality.text_statistics(documents(spark, [text])).first()
+        lines = [l.strip() for l in re.split("\r\n|[\n\r\u2028]", text)]
+        lines = lines[:-1] if not lines[-1] else lines
+        full = [l for l in lines if l]
+        words = re.findall(r"[^\W\d_²]+", text)
+        assert (row.line_count, row.non_empty_line_count, row.word_count, row.character_count) == (len(lines), len(full), len(words), len(text))
+        assert row.short_line_ratio == sum(len(l) <= 25 for l in full) / len(full) and row.mean_word_length == pytest.approx(sum(map(len, words)) / len(words))
+        assert row.hyphenated_line_break_count == len(re.findall(r"[^\W\d_²]-\r?\n", text)) and row.sentences_per_100_words == pytest.approx(100 * len(re.findall(r"[.!?…](?=[\s\"”»]|$)", text)) / len(words))
+        assert row.punctuated_line_ratio == sum(l[-1] in ".!?…:;»”\"" for l in full) / len(full) and row.digit_ratio == pytest.approx(text.count("1") / len(text))
 
 
 # languages
