@@ -85,38 +85,46 @@ def _language_model(texts: DataFrame, pieces: str = PIECES, sample: int = SAMPLE
     return language.train(rows, language.public_pieces(pieces))
 
 
-def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The newest row of each harvested record: what its language shows in, its label and its path."""
-    records = table(spark, sf_dir, "remote_record").where("identifier is not null")
-    records = records.withColumn("description", F.get("descriptions", F.lit(0)))
-    return newest(records, "identifier", "oai_datestamp", "language", "title", "description", "local_path")
+def _languages(spark: SparkSession, sf_dir: str, no_prose: DataFrame) -> tuple[DataFrame, language.Model]:
+    """Texts with their claimed language, and the model learned from those that are prose."""
+    texts = _documents(spark, sf_dir).where("document_id is not null").select("doc_id", "document_id", "text", F.col("lang").alias("label"))
+    return texts, _language_model(texts.join(no_prose, "doc_id", "left_anti"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts and records are judged where they lie; only what is judged, a few small columns, meets the newest labels."""
     no_prose = _no_prose(spark, sf_dir)
-    state = _newest_document(spark, sf_dir, "language", "original_path").withColumn("label", language.codes("language"))
-    every = _documents(spark, sf_dir).select("doc_id", "document_id", "text")
-    texts = every.join(no_prose, "doc_id", "left_anti").join(state.select("document_id", "label"), "document_id", "left")
-    model = _language_model(texts.where("document_id is not null"))
-
-    judged = written(language.document_languages(texts.where("document_id is not null"), model))
-    main = judged.where("segment_no = 0").select("document_id", F.col("language").alias("main"))
-    labels = state.select("document_id", "label")
-    whole = main.join(labels, "document_id", "left").where("label is null or label != main").select("document_id", F.lit(0).alias("segment_no"), F.col("main").alias("language"))
-    parts = judged.where("segment_no > 0 and running").join(main, "document_id").where("language != main").select("document_id", "segment_no", "language")
-    of_documents = whole.unionByName(parts).select(F.lit("document").alias("record_type"), F.col("document_id").alias("record_key"), "segment_no", "language")
-
-    linked = every.join(no_prose, "doc_id", "left_semi").join(state.where("original_path is not null"), "document_id").select(F.col("original_path").alias("local_path")).distinct()
-    records = _records(spark, sf_dir).where("title is not null and trim(title) != ''")
-    records = records.withColumn("local_path", F.coalesce("local_path", F.concat(F.lit("no path of "), "identifier")))  # else all records without a path meet in one task
-    records = records.join(linked, "local_path", "left_anti")
-    records = records.withColumn("label", language.codes("language")).withColumn("text", F.concat_ws(" . ", "title", "description"))
-    shown = language.record_languages(records.select("identifier", "text", F.col("label")), model)
-    wrong = shown.join(records.select("identifier", "label"), "identifier").where("label is null or label != language")
-    of_records = wrong.select(F.lit("remote").alias("record_type"), F.col("identifier").alias("record_key"), F.lit(0).alias("segment_no"), "language")
+    texts, model = _languages(spark, sf_dir, no_prose)
+    state = written(_newest_document(spark, sf_dir, "language", "original_path").select("document_id", language.codes("language").alias("label"), "original_path"))
+
+    judged = language.document_languages(texts, model, carry=("doc_id",)).where("segment_no = 0 or (running and language != main)").select("doc_id", "document_id", "segment_no", "language")
+    judged = written(judged.join(no_prose, "doc_id", "left_anti"))
+    whole = judged.where("segment_no = 0").join(state.select("document_id", "label"), "document_id", "left").where("label is null or label != language")
+    of_documents = whole.select("document_id", "segment_no", "language").unionByName(judged.where("segment_no > 0").select("document_id", "segment_no", "language"))
+    of_documents = of_documents.select(F.lit("document").alias("record_type"), F.col("document_id").alias("record_key"), "segment_no", "language")
+
+    records = table(spark, sf_dir, "remote_record").where("identifier is not null")
+    titled = F.col("title").isNotNull() & (F.trim("title") != "")
+    text = F.when(titled, F.concat_ws(" . ", "title", F.get("descriptions", F.lit(0))))
+    records = records.select("identifier", "oai_datestamp", language.codes("language").alias("label"), text.alias("text"), "local_path")
+    shown = language.record_languages(records.withColumn("claimed", F.col("label")), model, carry=("oai_datestamp", "claimed", "local_path"))
+    shown = newest(shown, "identifier", "oai_datestamp", "claimed", "shown", "local_path").where("shown is not null and (claimed is null or claimed != shown)")
+    shown = shown.withColumn("local_path", F.coalesce("local_path", F.concat(F.lit("no path of "), "identifier")))  # else all records without a path meet in one task
+    texts_of = _documents(spark, sf_dir).select("doc_id", "document_id").join(no_prose, "doc_id", "left_semi")
+    linked = texts_of.join(state.where("original_path is not null"), "document_id").select(F.col("original_path").alias("local_path")).distinct()
+    wrong = shown.join(linked, "local_path", "left_anti")
+    of_records = wrong.select(F.lit("remote").alias("record_type"), F.col("identifier").alias("record_key"), F.lit(0).alias("segment_no"), F.col("shown").alias("language"))
     return of_documents.unionByName(of_records).distinct()
 
 
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text (segment 0) and paragraph of prose with its language and confidence."""
+    no_prose = _no_prose(spark, sf_dir)
+    texts, model = _languages(spark, sf_dir, no_prose)
+    judged = language.document_languages(texts, model, carry=("doc_id",)).join(no_prose, "doc_id", "left_anti")
+    return judged.select("document_id", "segment_no", "language", F.round("confidence", 4).alias("confidence"), "words")
+
+
 # 4: tokens
 
 

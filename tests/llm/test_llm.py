@@ -3,6 +3,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -343,15 +344,27 @@ def test_forward_sums_all_segmentations(model):
     import numpy as np
 
     p = np.array([[0.1, 0.2, 0.3, 0.05, 0.15, 0.12, 1e-7]])
-    got = np.exp(language.Arcs(["ab"], ids, 6).log_likelihoods(p))[0, 0]
+    got = np.exp(language.Arcs(["ab"], ids, 6, 3).log_likelihoods(p))[0, 0]
     assert got == pytest.approx(0.1 + 0.2 * 0.3 + 0.05 * 0.12 + 0.05 * 0.15 * 0.3)
 
 
+def test_long_words_are_scored_whole(model):
+    unknown, longest = len(model.pieces), model.longest
+    score = lambda w: language.Arcs([w], model.ids, unknown, longest).log_likelihoods(model.probabilities)[0]
+    plain = language.Arcs(["cachorro"], model.ids, unknown, longest)
+    whole, _ = plain.forward(model.probabilities)
+    assert np.allclose(score("cachorro"), np.log(whole[:, 0, -1]))
+    long = "cachorro" * 400
+    assert np.isfinite(score(long)).all() and (score(long) < 300 * score("cachorro") / 2).all()
+    assert not np.allclose(score("cachorro" * 5 + "the" * 30), score("cachorro" * 5 + "que" * 30))  # what lies far behind counts
+    assert np.allclose(language.Scorer(model).sums([[long, "que"], ["que"]])[0], score(long) + score("que"))
+
+
 def test_expectation_raises_the_likelihood():
     import numpy as np
 
     ids, words, counts = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4}, ["ab", "aab", "b"], np.array([5.0, 3.0, 2.0])
-    arcs, p, before = language.Arcs(words, ids, 5), np.full(6, 1 / 6), -np.inf
+    arcs, p, before = language.Arcs(words, ids, 5, 3), np.full(6, 1 / 6), -np.inf
     for _ in range(6):
         now = (arcs.log_likelihoods(p[None])[:, 0] * counts).sum()
         assert now >= before - 1e-9
@@ -367,7 +380,7 @@ def test_languages_of_texts_and_paragraphs(spark, model):
     assert got["d6", 0].language == "es" and got["d6", 3].language == "en" and got["d6", 3].running and 0 < got["d6", 3].confidence <= 1
     assert ("d7", 0) not in got and ("d8", 0) not in got
     records = spark.createDataFrame([("r1", TEXTS["it"], "es"), ("r2", None, None), ("r3", "", "en")], "identifier string, text string, label string")
-    assert [(r.identifier, r.language) for r in language.record_languages(records, model).collect()] == [("r1", "it")]
+    assert [(r.identifier, r.shown) for r in language.record_languages(records, model).orderBy("identifier").collect()] == [("r1", "it"), ("r2", None), ("r3", None)]
 
 
 def test_labels(spark):
