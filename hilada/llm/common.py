@@ -32,9 +32,14 @@ def spread(df: DataFrame, enough: int = 32 * 1024 * 1024) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, named by spark.checkpoint.dir; a folder of its own only where that is unset."""
+    """The folder all executors share, named by spark.checkpoint.dir.
+
+    Only where that is unset and all runs on this machine, as in tests, a temporary folder takes its place.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='hilada-')}"
         spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -67,6 +72,13 @@ def newest(df: DataFrame, key: str, at: str, *columns: str) -> DataFrame:
     return df.groupBy(key).agg(held).select(key, *(F.col(f"_held.{c}").alias(c) for c in columns))
 
 
+def salted_join(df: DataFrame, small: DataFrame, key: str, salts: int = 8) -> DataFrame:
+    """An inner join on a key of which some values are very frequent in df: each is parted over `salts` tasks, small is repeated."""
+    parted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return parted.join(repeated, [key, "_salt"]).drop("_salt")
+
+
 def arrow_pass(
     df: DataFrame, schema: str, start: Callable[[], Callable[[pa.RecordBatch], Iterator[dict[str, list]]]], flush: bool = False
 ) -> DataFrame:
@@ -88,7 +100,7 @@ def arrow_pass(
     return df.mapInArrow(run, schema)
 
 
-_TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "float": pa.float32(), "boolean": pa.bool_(), "binary": pa.binary()}
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64(), "float": pa.float32(), "boolean": pa.bool_(), "timestamp": pa.timestamp("us", "UTC"), "binary": pa.binary()}
 
 
 def _arrow_schema(schema: str) -> pa.Schema:

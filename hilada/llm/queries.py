@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language, leakage, mixing, mojibake, quality, residue, sql, subjects, term_counts, token_counts
-from .common import newest, spread, table, written
+from .common import newest, salted_join, spread, table, written
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
@@ -33,7 +33,7 @@ def _subjects(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, l
     records = written(records.where("subjects is not null and size(subjects) > 0").select("subjects", "local_path"))
     meaning = written(subjects.subject_areas(records, areas))
     paths = _newest_document(spark, sf_dir, "original_path").where("original_path is not null").select("document_id", F.col("original_path").alias("local_path"))
-    named = subjects.named_subjects(records.where("local_path is not null")).join(meaning, "subject").join(paths, "local_path")
+    named = salted_join(subjects.named_subjects(records.where("local_path is not null")), meaning, "subject").join(paths, "local_path")
     named = written(named.join(documents.select("doc_id", "document_id"), "document_id").groupBy("doc_id", "area").agg(F.lit(1.0).alias("weight")))
     by_hand = table(spark, sf_dir, "subject_label").where("doc_id is not null and area is not null").select("doc_id", "area", F.lit(2.0).alias("weight")).distinct()
     rows = [(r.area, r.area_name or "", r.description or "") for r in areas.select("area", "area_name", "description").orderBy("area").collect()]
@@ -235,11 +235,21 @@ def p8_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the corpus consists of: by source and area, the documents and the code points of their parts."""
-    mixtures, _, names = _subjects(spark, sf_dir)
-    treated = mixtures.where((F.col("specific") > 0) & (F.col("specific") >= AREA_DENSITY * F.col("length")))
-    each = treated.select("doc_id", "length", F.posexplode("shares").alias("i", "share")).withColumn("area", F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1))
-    placed = each.where(F.col("share") >= AREA_SHARE).join(_documents(spark, sf_dir).select("doc_id", "source"), "doc_id")
+    """What the corpus consists of: by source and area, the documents and the code points of their parts.
+
+    All documents are in it: those whose areas come from their record share their text evenly among them, and those that have no
+    area, or are no prose, count under a null one. So the code points of a source add up to those of its texts.
+    """
+    mixtures, named, names = _subjects(spark, sf_dir)
+    mixtures = written(mixtures)
+    treats = (F.col("specific") > 0) & (F.col("specific") >= AREA_DENSITY * F.col("length"))
+    each = mixtures.where(treats).select("doc_id", F.posexplode("shares").alias("i", "share")).where(F.col("share") >= AREA_SHARE)
+    treated = each.select("doc_id", F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1).alias("area"), "share")
+    others = mixtures.where(~treats).select("doc_id").join(named, "doc_id").select("doc_id", "area", F.lit(1.0).alias("share"))
+    parts = treated.unionByName(others)
+    parts = parts.join(parts.groupBy("doc_id").agg(F.sum("share").alias("all")), "doc_id").select("doc_id", "area", (F.col("share") / F.col("all")).alias("share"))
+    documents = _documents(spark, sf_dir).select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).alias("length"))
+    placed = documents.join(parts, "doc_id", "left").withColumn("share", F.coalesce("share", F.lit(1.0)))
     return placed.groupBy("source", "area").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.col("share") * F.col("length")).alias("code_points"))
 
 

@@ -17,83 +17,128 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_pass, written
+from .common import arrow_pass, salted_join, written
 from .mojibake import BAD, CORE
+from .vectors import Texts, groups
 
-WORD = re.compile(r"[^\W\d_]{3,}")
+#: Letters of the shortest term.
+SHORTEST = 3
 HYPHEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n\s*(?=[^\W\d_])")
 #: Claimed languages that have a component of their own; all others share the last.
 GROUNDS = ("es", "pt", "en", "fr", "it", "ca", "")
 EPSILON = 1e-9
 
 
-def terms(text: str) -> list[str]:
-    """Words of three letters or more, in NFC and lower case; words with damaged letters say nothing and are left out."""
+def plain(text: str) -> str:
+    """A text in NFC with words joined at line ends; words with damaged letters say nothing and are left out."""
     if not text.isascii() and BAD.search(text):
         text = CORE.sub(lambda m: " " if BAD.search(m[0]) else m[0], text)
     if "-" in text:
         text = HYPHEN.sub("", text)
-    return WORD.findall((text if text.isascii() else unicodedata.normalize("NFC", text)).lower())
+    return text if text.isascii() else unicodedata.normalize("NFC", text)
 
 
-def vocabulary(documents: DataFrame, least_share: float = 0.0003, most_share: float = 0.35, least: int = 3, bound: int = 200_000) -> list[str]:
-    """Terms in at least least_share of the texts (and `least` of them) and at most in most_share.
+def terms(text: str) -> set[int]:
+    """The hashes of the words of three letters or more, without regard to case."""
+    return set(Texts([plain(text)]).words(SHORTEST)[1].tolist())
 
-    As a text has some hundred distinct terms, a least share bounds their number whatever the corpus' size; `bound` is checked.
+
+def hashed_matrix(documents: DataFrame) -> DataFrame:
+    """Rows (doc_id, ground, length, terms, counts) with the hashes of all terms of each text, how often it has them, the component
+    of its claimed language and its code points. The texts are cut into terms here only."""
+
+    def start():
+        def step(batch: pa.RecordBatch):
+            ids, languages, texts = (c.to_pylist() for c in batch.columns)
+            for a, b in groups([t or "" for t in texts]):
+                part = [t or "" for t in texts[a:b]]
+                owner, hashes, _, _ = Texts([plain(t) for t in part]).words(SHORTEST)
+                order = np.lexsort((hashes, owner))
+                owner, hashes = owner[order], hashes[order]
+                first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])])) if len(owner) else np.zeros(0, int)
+                counts = np.diff(np.append(first, len(owner))).astype(np.int32)
+                offsets = pa.array(np.searchsorted(owner[first], np.arange(b - a + 1)), pa.int32())
+                ground = [GROUNDS.index(l) if l in GROUNDS else len(GROUNDS) - 1 for l in languages[a:b]]
+                yield [ids[a:b], ground, [len(t) for t in part], pa.ListArray.from_arrays(offsets, pa.array(hashes[first])), pa.ListArray.from_arrays(offsets, pa.array(counts))]
+
+        return step
+
+    return arrow_pass(documents.select("doc_id", "lang", "text"), "doc_id long, ground int, length long, terms array<long>, counts array<int>", start)
+
+
+def vocabulary(hashed: DataFrame, least_share: float = 0.0003, least: int = 3, bound: int = 200_000) -> np.ndarray:
+    """Sorted hashes of the terms that, in some claimed language, at least least_share of the texts have, and `least` of them.
+
+    Common words stay: they belong to the ground components. As a text has some hundred distinct terms, a least share bounds their
+    number whatever the corpus' size. `bound` is the size of the model: if more terms pass, the share rises until no more do, so
+    that the most widespread terms of each language are known.
     """
 
     def start():
-        held: dict[str, int] = {}
-        rows = [0]
+        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in GROUNDS]
+        texts = np.zeros(len(GROUNDS), np.int64)
+
+        def merged(parts):
+            keys, counts = (np.concatenate(x) for x in zip(*parts))
+            distinct, at = np.unique(keys, return_inverse=True)
+            return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64)
 
         def step(batch: pa.RecordBatch | None):
-            if batch is not None:
-                for t in batch.column(0).to_pylist():
-                    rows[0] += 1
-                    for w in set(terms(t)):
-                        held[w] = held.get(w, 0) + 1
-            if batch is None or len(held) > 200_000:
-                yield [["", *held], [rows[0], *held.values()]]
-                held.clear()
-                rows[0] = 0
+            if batch is None:
+                for g, parts in enumerate(held):
+                    if parts:
+                        keys, counts = merged(parts)
+                        yield [np.full(len(keys) + 1, g, np.int32), pa.array([None, *keys.tolist()], pa.int64()), np.append(texts[g], counts)]
+                return
+            ground, lists = np.asarray(batch.column("ground")), batch.column("terms")
+            lengths = np.diff(np.asarray(lists.offsets))
+            keys, of = np.asarray(lists.flatten()), np.repeat(ground, lengths)
+            for g in np.unique(ground):
+                texts[g] += int(((ground == g) & (lengths > 0)).sum())
+                held[g].append(np.unique(keys[of == g], return_counts=True))
+                if len(held[g]) >= 16:
+                    held[g] = [merged(held[g])]
 
         return step
 
-    counted = arrow_pass(documents.where("text is not null").select("text"), "term string, n long", start, flush=True)
-    counted = written(counted.groupBy("term").agg(F.sum("n").alias("n")))
-    size = next((r.n for r in counted.where("term = ''").collect()), 0)
-    kept = counted.where((F.col("term") != "") & (F.col("n") >= max(least, least_share * size)) & (F.col("n") <= most_share * size))
-    number = kept.count()
+    counted = arrow_pass(few(hashed.select("ground", "terms")), "ground int, term long, n long", start, flush=True).groupBy("ground", "term").agg(F.sum("n").alias("n"))
+    counted = written(counted)
+    sizes = {r.ground: r.n for r in counted.where("term is null").collect()}
+    texts = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("ground")) if sizes else F.lit(1)
+    shared = counted.where(F.col("term").isNotNull() & (F.col("n") >= least)).groupBy("term").agg(F.max(F.col("n") / texts).alias("share")).where(F.col("share") >= least_share)
+    shared = written(shared)
+    number = shared.count()
     if number > bound:
-        raise ValueError(f"{number} terms are more than {bound}; raise least_share")
-    return sorted(r.term for r in kept.select("term").collect())
+        at = shared.approxQuantile("share", [1 - 0.98 * bound / number], 0.001)[0]
+        shared = shared.where(F.col("share") > at)
+    return np.sort(np.asarray(shared.select("term").toArrow().column("term")).astype(np.int64))
 
 
-def matrix(documents: DataFrame, words: list[str]) -> DataFrame:
-    """Rows (doc_id, ground, length, terms, counts): the matrix in sparse rows, with the component of the claimed language and
-    the code points of the text."""
-    shared = documents.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(words)})
+def matrix(hashed: DataFrame, words: np.ndarray) -> DataFrame:
+    """hashed_matrix with places in `words` in place of hashes; terms that aren't there are left out."""
+    shared = hashed.sparkSession.sparkContext.broadcast(words)
 
     def start():
-        ids = shared.value
+        known = shared.value
 
         def step(batch: pa.RecordBatch):
-            out: list[list] = [[], [], [], [], []]
-            for doc, lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-                row: dict[int, int] = {}
-                for w in terms(text or ""):
-                    if (i := ids.get(w)) is not None:
-                        row[i] = row.get(i, 0) + 1
-                out[0].append(doc)
-                out[1].append(GROUNDS.index(lang) if lang in GROUNDS else len(GROUNDS) - 1)
-                out[2].append(len(text or ""))
-                out[3].append(list(row))
-                out[4].append(list(row.values()))
-            yield out
+            lists = batch.column("terms")
+            lengths = np.diff(np.asarray(lists.offsets))
+            keys, counts = np.asarray(lists.flatten()), np.asarray(batch.column("counts").flatten())
+            at = np.minimum(np.searchsorted(known, keys), max(len(known) - 1, 0))
+            hit = known[at] == keys if len(known) else np.zeros(len(keys), bool)
+            ends = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(lengths)])]
+            offsets = pa.array(ends, pa.int32())
+            yield [batch.column("doc_id"), batch.column("ground"), batch.column("length"), pa.ListArray.from_arrays(offsets, pa.array(at[hit].astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(counts[hit].astype(np.int32)))]
 
         return step
 
-    return arrow_pass(documents.select("doc_id", "lang", "text"), "doc_id long, ground int, length long, terms array<int>, counts array<int>", start)
+    return arrow_pass(hashed, "doc_id long, ground int, length long, terms array<int>, counts array<int>", start)
+
+
+def few(rows: DataFrame) -> DataFrame:
+    """rows in no more tasks than twice the cores, so that what each task sums up is sent as often, whatever the corpus' size."""
+    return rows.coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def named_subjects(records: DataFrame) -> DataFrame:
@@ -112,10 +157,12 @@ def subject_areas(records: DataFrame, areas: DataFrame, least_share: float = 0.5
     keyed = records.select(F.monotonically_increasing_id().alias("local_path"), "subjects")
     named = written(named_subjects(keyed))
     code = F.regexp_extract("subject", r"(?:^|[^a-z0-9])([a-z]+\d+)(?:[.\-/]\d+)*$", 1)
-    known = areas.select("area", F.lower("scheme_code").alias("scheme"), F.lower("area_name").alias("name"))
-    distinct = named.select("subject").distinct().withColumn("code", code)
-    direct = distinct.join(F.broadcast(known), (F.col("subject") == F.col("area")) | (F.col("subject") == F.col("name")) | (F.col("code") == F.col("scheme"))).select("subject", "area").distinct()
-    coded = named.join(direct, "subject")
+    known = areas.select("area", F.lower("scheme_code").alias("code"), F.lower("area_name").alias("name"))
+    distinct = written(named.select("subject").distinct().withColumn("code", code))
+    ways = [distinct.join(known.select(F.col(c).alias(at), F.col("area").alias("_area")).distinct(), at).select("subject", F.col("_area").alias("area")) for c, at in (("area", "subject"), ("name", "subject"), ("code", "code"))]
+    direct = ways[0].unionByName(ways[1]).unionByName(ways[2]).distinct()
+    direct = written(direct)
+    coded = salted_join(named, direct, "subject")
     beside = named.join(direct, "subject", "left_anti").join(coded.select("local_path", "area").distinct(), "local_path").groupBy("subject", "area").count()
     meant = beside.groupBy("subject").agg(F.sum("count").alias("all"), F.max(F.struct("count", "area")).alias("best")).where((F.col("best.count") >= least) & (F.col("best.count") >= least_share * F.col("all")))
     return direct.unionByName(meant.select("subject", "best.area"))
@@ -151,21 +198,22 @@ def document_weights(columns: np.ndarray, values: np.ndarray, rows: np.ndarray,
 
 
 def _summed(rows: DataFrame, k: int, size: int) -> np.ndarray:
-    """Sums of rows (term, vector) as a matrix [k, term]; its size is that of the bounded vocabulary."""
-    summed = rows.groupBy("term").agg(*(F.sum(F.col("vector")[i]).alias(f"v{i}") for i in range(k)))
-    out = np.zeros((k, size))
-    for r in summed.toLocalIterator():
-        out[:, r[0]] = r[1:]
-    return out
+    """Sums of rows (cell, value) as a matrix [k, term]; its size is that of the bounded vocabulary."""
+    summed = rows.groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+    out = np.zeros(k * size)
+    out[np.asarray(summed.column("cell"))] = np.asarray(summed.column("value"))
+    return out.reshape(k, size)
 
 
-def _emit(total: np.ndarray) -> list[list]:
-    used = np.flatnonzero(total.sum(axis=0))
-    return [used.tolist(), total[:, used].T.tolist()]
+def _emit(total: np.ndarray) -> list:
+    """What isn't nought of a matrix, as (cell, value)."""
+    flat = total.reshape(-1)
+    used = np.flatnonzero(flat > 1e-6)
+    return [used, flat[used]]
 
 
 def seeds(rows: DataFrame, k_areas: int, size: int) -> np.ndarray:
-    """Sums [area and ground components and all, term] of counts, weighted by what is known of each document.
+    """Sums [area and ground components, term] of counts, weighted by what is known of each document.
 
     rows: the matrix with a column known, an array of the weights of the areas or null.
     """
@@ -180,7 +228,9 @@ def seeds(rows: DataFrame, k_areas: int, size: int) -> np.ndarray:
                 return
             columns, values, at, lengths = _batch(batch)
             ground = np.asarray(batch.column("ground"))
-            np.add.at(total, (k_areas + ground[at], columns), values)
+            for g in np.unique(ground):
+                pick = ground[at] == g
+                total[k_areas + g] += np.bincount(columns[pick], values[pick], size)
             known = np.array([x or [0.0] * k_areas for x in batch.column("known").to_pylist()], dtype=float).reshape(len(lengths), k_areas)
             for area in range(k_areas):
                 weight = known[at, area]
@@ -190,7 +240,7 @@ def seeds(rows: DataFrame, k_areas: int, size: int) -> np.ndarray:
 
         return step
 
-    return _summed(arrow_pass(rows.select("ground", "terms", "counts", "known"), "term int, vector array<double>", start, flush=True), k, size)
+    return _summed(arrow_pass(few(rows.select("ground", "terms", "counts", "known")), "cell int, value double", start, flush=True), k, size)
 
 
 class Factors:
@@ -272,7 +322,7 @@ def factorize(rows: DataFrame, first: Factors, rounds: int = 3, steps: int = 8,
 
             return step
 
-        new = _summed(arrow_pass(rows.select("terms", "counts"), "term int, vector array<double>", start, flush=True), k + len(GROUNDS), size)
+        new = _summed(arrow_pass(few(rows.select("terms", "counts")), "cell int, value double", start, flush=True), k + len(GROUNDS), size)
         now = Factors((1 - hold) * new[:k] + hold * first.areas, (1 - hold) * new[k:] + hold * first.ground, first.usage)
     return now
 
@@ -296,17 +346,18 @@ def mixtures(rows: DataFrame, factors: Factors, steps: int = 25) -> DataFrame:
     return arrow_pass(rows.select("doc_id", "length", "terms", "counts"), "doc_id long, shares array<double>, specific double, length long", start)
 
 
-def subject_mixtures(documents: DataFrame, areas: list[tuple[str, str, str]], known: DataFrame, rounds: int = 3, least_share: float = 0.0003, most_share: float = 0.35) -> DataFrame:
+def subject_mixtures(documents: DataFrame, areas: list[tuple[str, str, str]], known: DataFrame, rounds: int = 3, least_share: float = 0.0003, bound: int = 200_000) -> DataFrame:
     """mixtures() of documents (doc_id, lang, text), learned over all of them.
 
     areas: (area, area_name, description). known: rows (doc_id, area, weight) of what labels and records say of some documents.
     Null and empty texts have nothing specific. Documents without known areas are factorized as well.
     """
     names = [a for a, _, _ in areas]
-    words = vocabulary(documents, least_share, most_share)
-    at = {w: i for i, w in enumerate(words)}
-    whole = written(matrix(documents, words))
+    hashed = written(hashed_matrix(documents))
+    words = vocabulary(hashed, least_share, bound=bound)
+    whole = written(matrix(hashed, words))
     by_doc = known.where(F.col("area").isin(*names)).groupBy("doc_id").agg(F.array(*(F.sum(F.when(F.col("area") == n, F.col("weight")).otherwise(0.0)) for n in names)).alias("known"))
     sums = seeds(whole.join(by_doc, "doc_id", "left"), len(names), len(words))
-    described = {i: {at[w] for w in terms(f"{name} {text}") if w in at} for i, (_, name, text) in enumerate(areas)}
+    place = {w: i for i, w in enumerate(words.tolist())}
+    described = {i: {place[w] for w in terms(f"{name} {text}") if w in place} for i, (_, name, text) in enumerate(areas)}
     return mixtures(whole, factorize(whole, anchored(sums, len(names), described), rounds))

@@ -408,7 +408,7 @@ def test_areas_of_texts(spark):
     docs = documents(spark, texts)
     known = spark.createDataFrame([(i, sorted(t)[0], 1.0) for i, t in enumerate(truth) if t and i % 5 == 0], "doc_id long, area string, weight double")
     areas = [(a, a, f"Trata de {w[0]} y {w[1]}.") for a, w in sorted(matter.items())]
-    got = {r.doc_id: r for r in subjects.subject_mixtures(docs, areas, known, most_share=0.9).collect()}
+    got = {r.doc_id: r for r in subjects.subject_mixtures(docs, areas, known).collect()}
     found = [{areas[k][0] for k, v in enumerate(got[i].shares) if v >= 0.2} if got[i].specific >= 3 else set() for i in range(400)]
     assert sum(f == t for f, t in zip(found, truth)) >= 0.95 * len(truth)
 
