@@ -155,3 +155,8 @@ def most_common(df: DataFrame, column: str, most: int) -> DataFrame:
     """The most frequent elements of an array column, ties by value."""
     each = df.select(F.explode(column).alias("value"))
     return each.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(most)
+
+
+def audit_counts(audits: DataFrame) -> DataFrame:
+    """Audits by version, profile and editorial status, nulls as groups of their own, and how many of them approve."""
+    return audits.groupBy("corpus_version", "audit_profile", "editorial_status").agg(F.count(F.lit(1)).alias("n"), F.count_if("approved").alias("approved"))

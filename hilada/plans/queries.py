@@ -274,7 +274,8 @@ def ingest_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MEASURES_SQL = f"""m0 AS (SELECT d.doc_id, d.document_id, d.text, list_transform(CASE WHEN s[-1] = '' THEN s[:-2] ELSE s END, lambda l: {strip_sql('l')}) AS ls FROM documents d, LATERAL (SELECT regexp_split_to_array(d.text, '{RSL}') AS s)),
 m1 AS (SELECT *, list_filter(ls, lambda l: l <> '') AS fl FROM m0),
-rep AS (SELECT doc_id, sum(n)::BIGINT AS r FROM (SELECT doc_id, line, count(*) AS n FROM (SELECT doc_id, unnest(fl) AS line FROM m1) WHERE length(line) >= 5 GROUP BY ALL HAVING count(*) >= 3) GROUP BY doc_id),
+rl AS (SELECT doc_id, line, count(*)::BIGINT AS n, min(i) AS first FROM (SELECT doc_id, regexp_replace(l, '[{RWS}]+', ' ', 'g') AS line, i FROM (SELECT doc_id, unnest(fl) AS l, unnest(range(1, len(fl) + 1)) AS i FROM m1) WHERE length(l) >= 5) GROUP BY ALL HAVING count(*) >= 3),
+rep AS (SELECT doc_id, sum(n)::BIGINT AS r FROM rl GROUP BY doc_id),
 m AS (SELECT m1.doc_id, document_id, length(text)::BIGINT AS character_count, len(regexp_extract_all(text, '{RWORD}'))::BIGINT AS word_count, len(ls)::BIGINT AS line_count, len(fl)::BIGINT AS non_empty_line_count,
  len(regexp_extract_all(text, '\\x{{fffd}}'))::BIGINT AS replacement_character_count, 0::BIGINT AS null_character_count, len(regexp_extract_all(text, '[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]'))::BIGINT AS control_character_count,
  len(regexp_extract_all(text, '(?i)\\[\\[PÁGINA[{RWS}]+\\p{{Nd}}+\\]\\]'))::BIGINT AS page_marker_count, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]-\\n'))::BIGINT AS hyphenated_line_break_count,
@@ -290,48 +291,75 @@ def anomaly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measures(spread(_documents(spark, sf_dir).select("doc_id", "text"))).drop("text")
 
 
-def _rules_sql(name: str) -> tuple[str, str, str]:
-    """Of a profile: the list of codes found, the score, and the conditions of missing size, as SQL over m."""
-    p = quality.profile(name)
-    t, codes, lost = p["thresholds"], [], []
-    conditions = {
-        "replacement_characters": "replacement_character_count > 0", "null_characters": "null_character_count > 0", "control_characters": "control_character_count > 0", "page_markers": "page_marker_count > 0",
-        "excessive_symbols": f"symbol_ratio > {t['symbol_ratio']}::DOUBLE", "repeated_lines": f"repeated_line_ratio > {t['repeated_line_ratio']}::DOUBLE", "numeric_lines": f"numeric_line_ratio > {t['numeric_line_ratio']}::DOUBLE",
-        "uppercase_lines": f"uppercase_line_ratio > {t['uppercase_line_ratio']}::DOUBLE", "hyphenated_line_breaks": f"hyphenated_line_break_count > {t['hyphenated']}",
-        "excessive_short_lines": f"short_line_ratio > {t['short_line_ratio']}::DOUBLE", "long_lines": "long_line_count > 0",
-    }
-    for code, condition in conditions.items():
-        if code not in p["disabled"]:
-            codes.append(f"CASE WHEN {condition} THEN '{p['severities'][code]}:{code}' END")
-            lost.append(f"CASE WHEN {condition} THEN {p['penalties'][code]} ELSE 0 END")
-    few = f"CASE WHEN word_count < {t['minimum_words']} THEN 'ERROR:few_words' END, CASE WHEN character_count < {t['minimum_characters']} THEN 'ERROR:few_characters' END"
-    return f"list_filter([{', '.join(codes)}], lambda x: x IS NOT NULL)", f"greatest(0, least(100, {t['initial']} - ({' + '.join(lost)})))", f"list_filter([{few}], lambda x: x IS NOT NULL)"
-
-
-def _scores_sql() -> str:
-    kinds: dict[str, list[str]] = {}
-    for kind, name in quality.PROFILE_OF.items():
-        kinds.setdefault(name, []).append(f"'{kind}'")
-    which = "CASE " + " ".join(f"WHEN document_type IN ({', '.join(k)}) THEN '{n}'" for n, k in kinds.items()) + " ELSE 'default' END"
-    used = sorted({*quality.PROFILE_OF.values(), "default"})
-    rules = {n: _rules_sql(n) for n in used}
-    pick = lambda i: "CASE profile " + " ".join(f"WHEN '{n}' THEN {rules[n][i]}" for n in used) + " END"
-    state = "st AS (SELECT document_id, max_by(document_type, updated_at) AS document_type FROM document GROUP BY document_id)"
-    return f"""WITH {MEASURES_SQL}, {state}, p AS (SELECT m.*, {which} AS profile FROM m LEFT JOIN st USING (document_id)), j AS (SELECT *, {pick(0)} AS codes, {pick(1)} AS score, {pick(2)} AS few FROM p)
-SELECT doc_id, profile, score::BIGINT AS score, array_to_string(list_transform(list_filter(list_concat(codes, few), lambda c: starts_with(c, 'ERROR')), lambda c: substr(c, 7)), ' ') AS errors,
- array_to_string(list_transform(list_filter(codes, lambda c: starts_with(c, 'WARNING')), lambda c: substr(c, 9)), ' ') AS warnings FROM j"""
-
-
-@query(_scores_sql())
+# The profiles as the settings state them, written out here and not taken from the operator.
+PROFILES_SQL = """kinds(document_type, profile) AS (VALUES ('novela', 'novela'), ('novela_picaresca', 'novela'), ('cuento', 'novela'), ('relato', 'novela'), ('obra_dialogada', 'obra_dialogada'), ('teatro', 'obra_dialogada'),
+ ('obra_teatral', 'obra_dialogada'), ('drama', 'obra_dialogada'), ('obra_dramatica', 'obra_dialogada'), ('poesia', 'poesia'), ('poemario', 'poesia'), ('verso', 'poesia'), ('articulo_cientifico', 'articulo_cientifico'),
+ ('articulo_academico', 'articulo_cientifico'), ('paper', 'articulo_cientifico'), ('tesis', 'tesis'), ('tesina', 'tesis'), ('trabajo_recepcion', 'tesis'), ('noticia', 'prensa'), ('articulo_periodistico', 'prensa'),
+ ('editorial_periodistico', 'prensa'), ('prensa', 'prensa'), ('ensayo', 'libro_no_ficcion'), ('libro_no_ficcion', 'libro_no_ficcion'), ('divulgacion', 'libro_no_ficcion'), ('manual', 'libro_no_ficcion')),
+limits(profile, words, characters, numeric, repeated, upper, short, long) AS (VALUES ('default', 1000, 5000, 0.03::DOUBLE, 0.08::DOUBLE, 0.08::DOUBLE, 0.65::DOUBLE, 400), ('novela', 1000, 5000, 0.02, 0.06, 0.06, 0.55, 400),
+ ('obra_dialogada', 1000, 5000, 0.06, 0.35, 0.30, 0.85, 400), ('poesia', 1000, 5000, 0.03, 0.20, 0.15, 0.90, 400), ('articulo_cientifico', 500, 5000, 0.12, 0.08, 0.10, 0.65, 600), ('tesis', 5000, 5000, 0.10, 0.12, 0.12, 0.65, 700),
+ ('prensa', 100, 500, 0.08, 0.10, 0.15, 0.60, 400), ('libro_no_ficcion', 1000, 5000, 0.06, 0.08, 0.10, 0.65, 400)),
+rules(place, code, severity, penalty, message) AS (VALUES (1, 'replacement_characters', 'ERROR', 40, 'Se encontraron caracteres Unicode de sustitución.'), (2, 'null_characters', 'ERROR', 50, 'Se encontraron caracteres nulos.'),
+ (3, 'control_characters', 'ERROR', 40, 'Persisten caracteres de control.'), (4, 'page_markers', 'ERROR', 20, 'Persisten marcas temporales de página.'), (5, 'excessive_symbols', 'WARNING', 20, 'La proporción de símbolos no lingüísticos es elevada.'),
+ (6, 'numeric_lines', 'WARNING', 10, 'Existe una proporción elevada de líneas numéricas.'), (7, 'repeated_lines', 'WARNING', 15, 'Se detectó repetición excesiva de líneas.'), (8, 'uppercase_lines', 'WARNING', 10, 'Existe una proporción elevada de líneas en mayúsculas.'),
+ (9, 'hyphenated_line_breaks', 'WARNING', 5, 'Se detectaron posibles palabras cortadas por salto de línea.'), (10, 'excessive_short_lines', 'INFO', 5, 'El documento contiene muchas líneas cortas. Puede corresponder a teatro o verso.'),
+ (11, 'excessive_long_lines', 'INFO', 5, 'Se encontraron líneas excesivamente largas.')),
+changes(profile, code, severity, penalty) AS (VALUES ('obra_dialogada', 'numeric_lines', 'WARNING', 5), ('obra_dialogada', 'excessive_short_lines', 'INFO', 0), ('poesia', 'repeated_lines', NULL, 5), ('poesia', 'uppercase_lines', NULL, 5),
+ ('articulo_cientifico', 'numeric_lines', 'INFO', 0), ('articulo_cientifico', 'excessive_long_lines', NULL, 2), ('tesis', 'numeric_lines', 'INFO', 0), ('tesis', 'repeated_lines', NULL, 5)),
+off(profile, code) AS (VALUES ('obra_dialogada', 'repeated_lines'), ('obra_dialogada', 'uppercase_lines'), ('poesia', 'excessive_short_lines')),
+st AS (SELECT document_id, max_by(document_type, updated_at) AS document_type FROM document GROUP BY document_id), p AS (SELECT m.doc_id, coalesce(kinds.profile, 'default') AS profile FROM m LEFT JOIN st USING (document_id) LEFT JOIN kinds USING (document_type))"""
+NUMERIC_SQL = f"regexp_full_match(regexp_replace(l, '[{RWS}.,:;()\\-–—]', '', 'g'), '[\\p{{Nd}}\\x{{b2}}\\x{{b3}}\\x{{b9}}\\x{{2070}}-\\x{{2079}}\\x{{2080}}-\\x{{2089}}]+')"
+UPPER_SQL = "len(regexp_extract_all(l, '\\p{L}')) >= 5 AND len(regexp_extract_all(l, '\\p{Lu}')) >= 0.9 * len(regexp_extract_all(l, '\\p{L}'))"
+ANOMALIES_SQL = f"""{MEASURES_SQL}, {PROFILES_SQL},
+w AS (SELECT m.*, fl, l.*, len(list_filter(fl, lambda x: length(x) > l.long))::BIGINT AS over_long FROM m JOIN m1 USING (doc_id) JOIN p USING (doc_id) JOIN limits l USING (profile)),
+hits AS (SELECT doc_id, profile, unnest([{{'code': 'replacement_characters', 'hit': replacement_character_count > 0, 'n': replacement_character_count, 'ratio': NULL::DOUBLE, 'shown': []::VARCHAR[]}}, {{'code': 'null_characters', 'hit': null_character_count > 0, 'n': null_character_count, 'ratio': NULL, 'shown': []}},
+ {{'code': 'control_characters', 'hit': control_character_count > 0, 'n': control_character_count, 'ratio': NULL, 'shown': []}}, {{'code': 'page_markers', 'hit': page_marker_count > 0, 'n': page_marker_count, 'ratio': NULL, 'shown': []}}, {{'code': 'excessive_symbols', 'hit': symbol_ratio > 0.03::DOUBLE, 'n': NULL, 'ratio': symbol_ratio, 'shown': []}},
+ {{'code': 'numeric_lines', 'hit': numeric_line_ratio > numeric, 'n': len(list_filter(fl, lambda l: {NUMERIC_SQL})), 'ratio': numeric_line_ratio, 'shown': list_filter(fl, lambda l: {NUMERIC_SQL})[:10]}},
+ {{'code': 'repeated_lines', 'hit': repeated_line_ratio > repeated, 'n': (SELECT coalesce(sum(n), 0)::BIGINT FROM rl WHERE rl.doc_id = w.doc_id), 'ratio': repeated_line_ratio, 'shown': (SELECT list(line || ' (' || n || ' veces)' ORDER BY n DESC, first)[:10] FROM rl WHERE rl.doc_id = w.doc_id)}},
+ {{'code': 'uppercase_lines', 'hit': uppercase_line_ratio > upper, 'n': len(list_filter(fl, lambda l: {UPPER_SQL})), 'ratio': uppercase_line_ratio, 'shown': list_filter(fl, lambda l: {UPPER_SQL})[:10]}},
+ {{'code': 'hyphenated_line_breaks', 'hit': hyphenated_line_break_count > 10, 'n': hyphenated_line_break_count, 'ratio': NULL, 'shown': []}},
+ {{'code': 'excessive_short_lines', 'hit': short_line_ratio > short, 'n': len(list_filter(fl, lambda l: length(l) <= 25)), 'ratio': short_line_ratio, 'shown': list_filter(fl, lambda l: length(l) <= 25)[:10]}},
+ {{'code': 'excessive_long_lines', 'hit': over_long > 0, 'n': over_long, 'ratio': NULL, 'shown': list_transform(list_filter(fl, lambda l: length(l) > w.long)[:5], lambda l: substr(l, 1, 200))}}], recursive := true) FROM w),
+an AS (SELECT h.doc_id, h.profile, place, code, coalesce(c.severity, r.severity) AS severity, coalesce(c.penalty, r.penalty) AS penalty, message, n, ratio, shown FROM hits h JOIN rules r USING (code) LEFT JOIN changes c USING (profile, code) WHERE hit AND NOT EXISTS (SELECT 1 FROM off WHERE off.profile = h.profile AND off.code = h.code))"""
+
+
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with the newest type of their document."""
+    state = table(spark, sf_dir, "document").groupBy("document_id").agg(F.max_by("document_type", "updated_at").alias("document_type"))
+    return spread(_documents(spark, sf_dir).select("doc_id", "document_id", "text")).join(state, "document_id", "left")
+
+
+@query(f"""WITH {ANOMALIES_SQL}, e AS (SELECT doc_id, sum(penalty) AS lost, string_agg(code, ' ' ORDER BY place) FILTER (severity = 'ERROR') AS errors, string_agg(code, ' ' ORDER BY place) FILTER (severity = 'WARNING') AS warnings FROM an GROUP BY doc_id)
+SELECT w.doc_id, w.profile, greatest(0, least(100, 100 - coalesce(lost, 0)))::BIGINT AS score, array_to_string(list_filter([errors, CASE WHEN word_count < words THEN 'few_words' END, CASE WHEN character_count < characters THEN 'few_characters' END], lambda x: x IS NOT NULL), ' ') AS errors, coalesce(warnings, '') AS warnings
+ FROM w LEFT JOIN e USING (doc_id)""")
 def editorial_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score of each text under the profile of its document's newest type."""
-    state = table(spark, sf_dir, "document").groupBy("document_id").agg(F.max_by("document_type", "updated_at").alias("document_type"))
-    rows = spread(_documents(spark, sf_dir).select("doc_id", "document_id", "text")).join(state, "document_id", "left")
-    judged = quality.by_profile(rows)
+    judged = quality.by_profile(_typed(spark, sf_dir))
     return judged.select("doc_id", "profile", "score", F.array_join("errors", " ").alias("errors"), F.array_join("warnings", " ").alias("warnings"))
 
 
-@query(f"""SELECT doc_id, line, count(*)::BIGINT AS n, min(i) - 1 AS first_line FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, list_transform(regexp_split_to_array(text, '{RSL}'), lambda l: {strip_sql('l')}) AS ls FROM documents)) WHERE length(line) >= 5 GROUP BY doc_id, line HAVING count(*) >= 3""")
+@query(f"WITH {ANOMALIES_SQL} SELECT doc_id, code, severity, message, n, ratio, array_to_string(coalesce(shown, []), ' | ') AS examples FROM an")
+def anomaly_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an auditor reads first: each anomaly of each text with its message and examples of lines."""
+    rows = _typed(spark, sf_dir)
+    judged = quality.with_repeated(quality.by_profile(rows, examples=True), quality.repeated_lines(rows.select("doc_id", "text")))
+    each = judged.select("doc_id", F.explode("anomalies").alias("a"))
+    return each.select("doc_id", "a.code", "a.severity", "a.message", F.col("a.count").alias("n"), "a.ratio", F.array_join("a.examples", " | ").alias("examples"))
+
+
+@query("WITH " + PROFILES_SQL.partition("limits(")[0].rstrip(",\n ") + """, st AS (SELECT document_id, max_by(document_type, updated_at) AS document_type FROM document GROUP BY document_id)
+SELECT document_id, document_type, coalesce(profile, 'default') AS profile FROM st LEFT JOIN kinds USING (document_type)""")
+def profile_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "document").groupBy("document_id").agg(F.max_by("document_type", "updated_at").alias("document_type"))
+    return rows.withColumn("profile", quality.profile_of(F.col("document_type")))
+
+
+@query("SELECT corpus_version, audit_profile, editorial_status, count(*)::BIGINT AS n, count(*) FILTER (approved)::BIGINT AS approved FROM editorial_audit GROUP BY ALL")
+def audit_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.audit_counts(table(spark, sf_dir, "editorial_audit"))
+
+
+@query(f"""SELECT doc_id, line, count(*)::BIGINT AS n, min(i) - 1 AS first_line FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, list_transform(regexp_split_to_array(text, '{RSL}'), lambda l: {strip_sql('l')}) AS ls FROM documents)) WHERE length(line) >= 5 GROUP BY doc_id, line HAVING count(*) >= 3""".replace("unnest(ls) AS line, unnest", "unnest(ls) AS line0, unnest").replace("SELECT doc_id, line, count", "SELECT doc_id, regexp_replace(line0, '[" + RWS + "]+', ' ', 'g') AS line, count").replace("length(line) >= 5", "length(line0) >= 5").replace("GROUP BY doc_id, line ", "GROUP BY ALL "))
 def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repeated_lines(_documents(spark, sf_dir))
 
