@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = f"file://{tempfile.mkdtemp(prefix='hilada-')}"
         spark.conf.set("spark.checkpoint.dir", where)

@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_pass
-from .vectors import CLOSING, CONTROL, DIGIT, LETTER, NUMBER, NUMERIC, PLAIN, SENTENCE, SPACE, UPPER, Texts, groups
+from .common import arrow_pass, written
+from .vectors import CLOSING, CONTROL, DIGIT, INVERSE, LETTER, NUMBER, NUMERIC, PLAIN, SENTENCE, SPACE, UPPER, Counts, Texts, groups, once_each
 
 PAGE_MARKS = re.compile(r"\[\[P[ÁA]GINA\s+\d+\]\]", re.I)
 # Signs that open an entry of a list, that end a line of prose, and the three forms of an ellipsis' end.
@@ -82,9 +82,9 @@ def measured(t: Texts, languages: list[str | None], common: dict[str, np.ndarray
     upper = (line_letters >= 5) & (in_line(t.has(UPPER)) >= 0.9 * line_letters)
     numeric = (line_letters == 0) & (line_numbers > 0) & (in_line(t.has(NUMERIC)) == long)
     counted = np.flatnonzero(long >= 5)
-    keys = t.hashes(codes, first[counted], last[counted])
-    _, same, times = np.unique(np.stack([line[counted], keys]), axis=1, return_inverse=True, return_counts=True) if len(counted) else (None, counted, counted)
-    repeated = np.bincount(line[counted], times[same.reshape(-1)] >= 3, t.n) if len(counted) else np.zeros(t.n)
+    keys = t.hashes(codes, first[counted], last[counted]) ^ (line[counted].astype(np.uint64) * np.uint64(INVERSE)).view(np.int64)
+    _, same, times = np.unique(keys, return_inverse=True, return_counts=True)
+    repeated = t.count(line[counted], times[same] >= 3)
     c0, c1, c2, c3, c4 = (sign(k) for k in range(5))
     is_digit = lambda c: (c >= 48) & (c <= 57)
     blank = lambda c: (c == 32) | (c == 9) | (c == 0xA0)
@@ -144,42 +144,32 @@ def common_words(documents: DataFrame, text: str = "text", lang: str = "lang", s
     rows, _ = _rows(documents, text, text, lang)
 
     def start():
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[str, Counts] = {}
         texts_of: dict[str, int] = {}
 
-        def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-            keys, counts = (np.concatenate(x) for x in zip(*parts))
-            distinct, at = np.unique(keys, return_inverse=True)
-            return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64)
-
         def step(batch: pa.RecordBatch | None):
             if batch is None:
-                for language, parts in held.items():
-                    keys, counts = merged(parts)
-                    yield [[language] * (len(keys) + 1), [None, *keys.tolist()], [texts_of[language], *counts.tolist()]]
+                for language, counts in held.items():
+                    keys, n = counts.result()
+                    yield [[language] * (len(keys) + 1), pa.array(np.append(keys, 0), mask=np.append(np.zeros(len(keys), bool), True)), np.append(n, texts_of[language])]
                 return
             texts, languages = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in groups(texts):
                 t = Texts(texts[a:b])
                 owner, hashes, _, _ = t.words()
-                pairs = np.unique(np.stack([owner, hashes]), axis=1) if len(owner) else np.zeros((2, 0), np.int64)
+                one = once_each(owner, hashes)
+                owner, hashes = owner[one], hashes[one]
                 of = np.array(languages[a:b], dtype=object)
                 for language in set(languages[a:b]) - {None, ""}:
                     mine = of == language
                     texts_of[language] = texts_of.get(language, 0) + int(mine.sum())
-                    keys, counts = np.unique(pairs[1][mine[pairs[0]]], return_counts=True)
-                    parts = held.setdefault(language, [])
-                    parts.append((keys, counts))
-                    if len(parts) >= 16:
-                        held[language] = [merged(parts)]
+                    held.setdefault(language, Counts()).add(hashes[mine[owner]])
 
         return step
 
     counted = arrow_pass(rows.where("text != ''").select("text", "lang"), "lang string, word long, n long", start, flush=True).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    # words that are in a quarter of all texts are few, but so is the table of the sizes, which goes by the languages
-    sizes = F.max(F.when(F.col("word").isNull(), F.col("n"))).alias("texts")
-    frequent = counted.where(F.col("n") >= least)
-    small = frequent.where("word is null").groupBy("lang").agg(sizes)
+    frequent = written(counted.where(F.col("n") >= least))  # read twice below
+    small = frequent.where("word is null").select("lang", F.col("n").alias("texts"))  # a row for each language
     kept = frequent.where("word is not null").join(F.broadcast(small), "lang").where(F.col("n") >= share * F.col("texts"))
     found: dict[str, list[int]] = {}
     for r in kept.select("lang", "word").collect():

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_pass, written
 from .quality import _names, common_words, failed, measured
-from .vectors import Texts, groups, skeletons
+from .vectors import Texts, groups, skeletons, word_hash
 
 #: A variable name in the marks of a template language.
 VARIABLE = r"\$\{[^}\n]{1,40}\}|\{\{[^}\n]{1,40}\}\}|\{[\w. ]{1,40}\}|<%=?[^%\n]{1,40}%>|\[\[[\w. ]{1,40}\]\]|%[A-Za-z_.]{2,40}%|@@\w[\w.]{0,40}?@@|__[^\W_][\w.]{0,40}?__|#[A-Za-z_.]{2,40}#|«[\w.]{2,40}»"
@@ -148,15 +148,15 @@ def masked(unit: str) -> tuple[str, int, int, int, list[tuple[str, str]]]:
 SIGN = re.compile(r"[:{}<\[@#%«$~&^*+=\\|/]|__|undefined|null|None|NaN|Invalid|\(sin|\(por|XXX")
 
 
-def templates(units: list[str]) -> tuple[list[int], list[int], list[int], list[int], list[bool], list[list[tuple[str, str]]]]:
-    """Of each unit: the hash of its template, its unfilled, filled and odd slots, whether it has more words than slots, its values."""
+def templates(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, list[tuple[str, str]]]]:
+    """Of each unit: the hash of its template, its unfilled, filled and odd slots, whether it has more words than slots; and by unit
+    the values of its labels."""
     marked = {i: masked(u) for i, u in enumerate(units) if SIGN.search(u)}
-    hashes, words, slots = skeletons([marked[i][0] if i in marked else u for i, u in enumerate(units)])
-    kept, filled, odd = [0] * len(units), slots.tolist(), [0] * len(units)
-    values: list[list[tuple[str, str]]] = [[] for _ in units]
-    for i, (_, k, f, o, pairs) in marked.items():
-        kept[i], filled[i], odd[i], values[i] = k, max(f, filled[i] - k - o), o, pairs
-    return hashes.tolist(), kept, filled, odd, (words > slots).tolist(), values
+    hashes, words, slots = skeletons([marked[i][0] if i in marked else u for i, u in enumerate(units)] if marked else units)
+    kept, filled, odd = np.zeros(len(units), np.int64), slots.copy(), np.zeros(len(units), np.int64)
+    for i, (_, k, f, o, _) in marked.items():
+        kept[i], filled[i], odd[i] = k, max(f, filled[i] - k - o), o
+    return hashes, kept, filled, odd, words > slots, {i: m[4] for i, m in marked.items() if m[4]}
 
 
 def is_message(low: str) -> bool:
@@ -182,15 +182,16 @@ def says_nothing(unit: str, times: int, distinct: int) -> bool:
 
 #: Linear in the text's length, and true wherever PHRASES, NUMBERED, FILLER or TRACE are of one of its units.
 SUSPECT = "|".join(map(re.escape, [*PHRASES, *FILLERS])) + r"|js|script|err(?:o\b|or|eur)|nodo-\p{Nd}|(?:ref|id)[.:] ?[0-9a-f]{6}|[45]\p{Nd}{2}[:.)]|at [^\n]*\("
-ASCII_LETTERS = bytes(b if 97 <= b <= 122 else 32 for b in range(256))
-LATIN_BYTES = frozenset(w.encode() for w in LATIN)
+LATIN_HASHES = np.sort(np.array([word_hash(w) for w in LATIN], np.int64))
 
 
-def _doubtful(found: list[list[str]]) -> list[bool]:
+def _doubtful(t: Texts, found: list[list[str]]) -> list[bool]:
     """Of the units of each text: whether says_nothing may hold for one of them by its words. Misses none."""
     low = ["\n".join(u).lower() for u in found]
     suspect = pc.match_substring_regex(pa.array(low, pa.large_string()), SUSPECT).to_pylist()
-    return [s or sum(map(LATIN_BYTES.__contains__, l.encode().translate(ASCII_LETTERS).split())) >= 3 for l, s in zip(low, suspect)]  # 0.6 of four words
+    owner, hashes, _, _ = t.words()
+    latin = t.count(owner[LATIN_HASHES[np.minimum(np.searchsorted(LATIN_HASHES, hashes), len(LATIN_HASHES) - 1)] == hashes])
+    return [s or n >= 3 for s, n in zip(suspect, latin)]  # 0.6 of four words
 
 
 def _hash(text: str) -> int:
@@ -221,34 +222,40 @@ def templates_of(documents: DataFrame, common: dict[str, np.ndarray] | None = No
                 yield from of(ids[a:b], texts[a:b], languages[a:b])
 
         def of(ids: list[int], texts: list[str], languages: list[str | None]):
-            out: list[list] = [[] for _ in FOUND.split(", ")]
+            t = Texts(texts)
             cut = [_cut(text) for text in texts]
             times = [Counter(u) for _, u in cut]
-            every = [u for t in times for u in t]
-            at = 0
+            every = [u for c in times for u in c]
+            n = np.array([k for c in times for k in c.values()], np.int64)
+            doc = np.repeat(np.arange(len(texts)), [len(c) for c in times])
             hashes, kept, filled, odd, wordy, values = templates(every)
-            for doc, (title, found), counted, suspect in zip(ids, cut, times, _doubtful([u for _, u in cut])):
-                if not found:
-                    continue
-                page, head, content = _hash("\n".join([title, *found])), _hash(" ".join(LETTERS.findall(title.lower())) or found[0].lower()), sum(map(len, found))
-                rows: dict[int, list] = {}
-                for unit, n in counted.items():
-                    row = rows.setdefault(hashes[at], [0, 0, 0, 0, False, wordy[at], []])
-                    for k, value in enumerate((n * len(unit), n * kept[at], n * filled[at], n * odd[at])):
-                        row[k] += value
-                    row[4] |= (suspect or len(counted) == 1) and says_nothing(unit, n, len(counted))
-                    for label, value in values[at]:
-                        row[6] += [_hash(label), _hash(value)]
-                    at += 1
-                for key, row in rows.items():
-                    for column, value in zip(out, (doc, key, *row[:5], page, head if row[5] else None, content, row[6] or None, None)):
-                        column.append(value)
+            says = np.zeros(len(every), bool)
+            suspects, at = _doubtful(t, [u for _, u in cut]), 0
+            for i, c in enumerate(times):
+                if suspects[i] or len(c) == 1:
+                    says[at : at + len(c)] = [says_nothing(u, k, len(c)) for u, k in c.items()]
+                at += len(c)
+            page = np.array([_hash("\n".join([title, *found])) for title, found in cut], np.int64)
+            head = np.array([_hash(" ".join(LETTERS.findall(title.lower())) or (found[0].lower() if found else "")) for title, found in cut], np.int64)
+            order = np.lexsort((hashes, doc))
+            if len(order):
+                first = np.flatnonzero(np.concatenate([[True], (np.diff(doc[order]) != 0) | (np.diff(hashes[order]) != 0)]))
+                summed = [np.add.reduceat((n * x)[order], first) for x in (np.fromiter(map(len, every), np.int64, len(every)), kept, filled, odd)]
+                by, key = doc[order][first], hashes[order][first]
+                content = np.bincount(by, summed[0], len(texts)).astype(np.int64)
+                pairs: list[list[int] | None] = [None] * len(first)
+                if values:
+                    place = np.empty(len(order), np.int64)
+                    place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
+                    for i, found in values.items():
+                        pairs[place[i]] = (pairs[place[i]] or []) + [_hash(x) for pair in found for x in pair]
+                heads = pa.array(head[by], mask=~wordy[order][first])
+                yield [np.array(ids)[by], key, *summed, np.logical_or.reduceat(says[order], first), page[by], heads, content[by], pairs, [None] * len(first)]
             if known is not None:
-                rules = failed(measured(Texts(texts), languages, known))
-                for i in np.flatnonzero(np.any(list(rules.values()), axis=0)):
-                    for column, value in zip(out, (ids[i], *[None] * 10, _names(rules, i))):
-                        column.append(value)
-            yield out
+                rules = failed(measured(t, languages, known))
+                bad = np.flatnonzero(np.any(list(rules.values()), axis=0))
+                none = [None] * len(bad)
+                yield [[ids[i] for i in bad], *[none] * 10, [_names(rules, i) for i in bad]]
 
         return step
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_pass, salted_join, written
 from .mojibake import BAD, CORE
-from .vectors import Texts, groups
+from .vectors import Counts, Texts, groups
 
 #: Letters of the shortest term.
 SHORTEST = 3
@@ -75,29 +75,22 @@ def vocabulary(hashed: DataFrame, least_share: float = 0.0003, least: int = 3, b
     """
 
     def start():
-        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in GROUNDS]
+        held = [Counts() for _ in GROUNDS]
         texts = np.zeros(len(GROUNDS), np.int64)
 
-        def merged(parts):
-            keys, counts = (np.concatenate(x) for x in zip(*parts))
-            distinct, at = np.unique(keys, return_inverse=True)
-            return distinct, np.bincount(at, counts, len(distinct)).astype(np.int64)
-
         def step(batch: pa.RecordBatch | None):
             if batch is None:
-                for g, parts in enumerate(held):
-                    if parts:
-                        keys, counts = merged(parts)
-                        yield [np.full(len(keys) + 1, g, np.int32), pa.array([None, *keys.tolist()], pa.int64()), np.append(texts[g], counts)]
+                for g, counts in enumerate(held):
+                    keys, n = counts.result()
+                    if texts[g]:
+                        yield [np.full(len(keys) + 1, g, np.int32), pa.array(np.append(keys, 0), mask=np.append(np.zeros(len(keys), bool), True)), np.append(n, texts[g])]
                 return
             ground, lists = np.asarray(batch.column("ground")), batch.column("terms")
             lengths = np.diff(np.asarray(lists.offsets))
             keys, of = np.asarray(lists.flatten()), np.repeat(ground, lengths)
             for g in np.unique(ground):
                 texts[g] += int(((ground == g) & (lengths > 0)).sum())
-                held[g].append(np.unique(keys[of == g], return_counts=True))
-                if len(held[g]) >= 16:
-                    held[g] = [merged(held[g])]
+                held[g].add(keys[of == g])
 
         return step
 
@@ -180,20 +173,20 @@ def _batch(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 def document_weights(columns: np.ndarray, values: np.ndarray, rows: np.ndarray, n: int, h: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights [document, component] under the term weights h [component, term] (rows sum to 1), and values / fit of each entry."""
     k = h.shape[0]
-    part = np.ascontiguousarray(h[:, columns].T)
-    w = np.full((n, k), 1.0)
-    w *= (np.bincount(rows, values, n) / k)[:, None] + EPSILON
-    order = np.searchsorted(rows, np.arange(n))
+    part = np.ascontiguousarray(h[:, columns].T, dtype=np.float32)  # single precision halves what is moved, which is the cost
+    values = values.astype(np.float32)
+    w = np.repeat(((np.bincount(rows, values, n) / k) + EPSILON).astype(np.float32)[:, None], k, axis=1)
+    at = np.searchsorted(rows, np.arange(n))
     filled = np.bincount(rows, minlength=n) > 0
-    ratio = np.zeros(len(values))
+    ratio = np.zeros(len(values), np.float32)
     for _ in range(steps):
-        ratio = values / (np.einsum("ij,ij->i", w[rows], part) + EPSILON)
         if len(values):
+            ratio = values / (np.einsum("ij,ij->i", w[rows], part) + np.float32(EPSILON))
             gained = np.zeros_like(w)
-            gained[filled] = np.add.reduceat(part * ratio[:, None], order[filled], axis=0)
+            gained[filled] = np.add.reduceat(part * ratio[:, None], at[filled], axis=0)
             w *= gained
     if len(values):
-        ratio = values / (np.einsum("ij,ij->i", w[rows], part) + EPSILON)
+        ratio = values / (np.einsum("ij,ij->i", w[rows], part) + np.float32(EPSILON))
     return w, ratio
 
 

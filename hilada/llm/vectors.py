@@ -90,6 +90,7 @@ class Texts:
         self.starts = self.ends - lengths
         self.lengths = lengths
         self.flags = _looked_up(self.codes, "flags", _flags, np.uint16)
+        self._words: dict[int, tuple] = {}
 
     def has(self, flag: int) -> np.ndarray:
         return (self.flags & flag) != 0
@@ -116,11 +117,14 @@ class Texts:
 
     def words(self, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each run of at least `least` letters: its text, the hash of its lower-case form, start and end."""
+        if least in self._words:
+            return self._words[least]
         starts, ends = self.runs(self.has(LETTER))
         if least > 1:
             long = ends - starts >= least
             starts, ends = starts[long], ends[long]
-        return self.owner(starts), self.hashes(_looked_up(self.codes, "lower", _lower, np.uint32), starts, ends), starts, ends
+        self._words[least] = self.owner(starts), self.hashes(_looked_up(self.codes, "lower", _lower, np.uint32), starts, ends), starts, ends
+        return self._words[least]
 
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each line: its text and, without white space around it, its start and end (equal in a blank line).
@@ -169,3 +173,43 @@ def skeletons(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     numbers, marks, words = t.count(t.owner(digits)), t.within(t.codes == 0x7E, t.starts, t.ends), t.count(owner[kept])
     hashes = np.where(words > 0, hashes, 2 + 3 * marks.astype(np.int64) + 1_000_003 * numbers.astype(np.int64))  # without words, what is left is their kind
     return hashes, words, (t.count(owner[named]) + numbers + marks).astype(np.int64)
+
+
+class Counts:
+    """How often each of many hashes came, by sorting what has gathered from time to time."""
+
+    def __init__(self, gathered: int = 500_000):
+        self.most, self.size = gathered, 0
+        self.new: list[np.ndarray] = []
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        self.new.append(keys)
+        self.size += len(keys)
+        if self.size > max(self.most, len(self.keys)):
+            self.merge()
+
+    def merge(self) -> None:
+        if not self.new:
+            return
+        keys = np.sort(np.concatenate(self.new))
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        keys, counts = np.concatenate([self.keys, keys[first]]), np.concatenate([self.counts, np.diff(np.append(first, len(keys)))])
+        order = np.argsort(keys, kind="stable")  # two sorted runs
+        keys, counts = keys[order], counts[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        self.keys, self.counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
+        self.new, self.size = [], 0
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        self.merge()
+        return self.keys, self.counts
+
+
+def once_each(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the first of the equal hashes of each owner."""
+    with np.errstate(over="ignore"):
+        keys = hashes ^ (owner.astype(np.uint64) * np.uint64(INVERSE)).view(np.int64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    return order[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else order
