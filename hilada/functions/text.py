@@ -131,8 +131,14 @@ def names(c: Column, sign: str = ",") -> Column:
     return F.filter(F.transform(F.split(c, sign), strip), lambda x: x != "")
 
 
-def page_url(base: str, title: Column) -> Column:
-    return F.concat(F.lit(base), F.replace(title, F.lit(" "), F.lit("_")))
+def page_url(base: str, title: Column, quoted: bool = False) -> Column:
+    """The address of a page: blanks become underscores and, if quoted, all but letters, digits and ()_-.~' their bytes."""
+    plain = F.replace(title, F.lit(" "), F.lit("_"))
+    if quoted:
+        plain = F.url_encode(plain)
+        for code, sign in (("*", "%2A"), ("%7E", "~"), ("%28", "("), ("%29", ")"), ("%27", "'")):
+            plain = F.replace(plain, F.lit(code), F.lit(sign))
+    return F.concat(F.lit(base), plain)
 
 
 def uuid5(namespace_hex: str, name: Column) -> Column:
@@ -147,9 +153,20 @@ def uuid5(namespace_hex: str, name: Column) -> Column:
 
 def human_bytes(c: Column) -> Column:
     """A size in the largest unit of 1024 below it, with two decimals."""
-    units = ("B", "KB", "MB", "GB", "TB")
+    units = ("B", "KiB", "MiB", "GiB", "TiB", "PiB")
     out = F.lit(None).cast("string")
-    for k in range(len(units)):
+    for k, unit in enumerate(units):
         fits = c < 1024.0 ** (k + 1) if k + 1 < len(units) else F.lit(True)
-        out = F.coalesce(out, F.when(fits, F.format_string(f"%.2f {units[k]}", c / 1024.0**k)))
+        out = F.coalesce(out, F.when(fits, F.format_string(f"%,.2f {unit}", half_even(c / 1024.0**k))))
     return out
+
+
+def human_seconds(c: Column) -> Column:
+    """Whole seconds as hours, minutes and seconds; a negative time is none."""
+    s = F.greatest(F.lit(0), F.floor(c)).cast("long")
+    return F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)
+
+
+def half_even(c: Column, digits: int = 2) -> Column:
+    """Rounded so that ties go to the even neighbour."""
+    return F.bround(c, digits)

@@ -107,21 +107,41 @@ def latest_audits(audits: DataFrame, version: str | None = None) -> DataFrame:
 
 
 def statistics(audits: DataFrame) -> DataFrame:
-    """By corpus version and document type (sin_clasificar where there is none): documents, words, characters and scores."""
+    """By corpus version and document type (sin_clasificar where there is none): documents, words, characters and scores, the
+    average rounded to two decimals, ties to even."""
     kind = F.coalesce("document_type", F.lit("sin_clasificar"))
     return audits.groupBy("corpus_version", kind.alias("document_type")).agg(
         F.count(F.lit(1)).alias("documents"), F.sum("anomaly_report.word_count").alias("words"), F.sum("anomaly_report.character_count").alias("characters"),
-        F.sum("editorial_score").alias("score_sum"), F.count_if("approved").alias("approved"),
+        F.sum("editorial_score").alias("score_sum"), T.half_even(F.avg("editorial_score")).alias("average_score"), F.count_if("approved").alias("approved"),
     )
 
 
-def manifest(documents: DataFrame, version: str) -> DataFrame:
-    """Rows (source, version, documents, characters, entries_sha256): by source, sizes and one hash of all entries.
+def manifest_entries(documents: DataFrame, version: str) -> DataFrame:
+    """One row for each document of a version: key, hash and size of its text, and a hash of the whole entry."""
+    rows = documents.select("doc_id", "source", F.lit(version).alias("version"), F.sha2("text", 256).alias("sha256"), F.length("text").cast("long").alias("characters"), T.word_count(F.col("text")).alias("words"))
+    return rows.withColumn("entry_sha256", F.sha2(F.concat_ws("\u0001", "source", "version", F.col("doc_id").cast("string"), "sha256"), 256))
 
-    The hash is of the sum of the entries' hashes, so it needs no order and no group in one task.
+
+def manifest(entries: DataFrame) -> DataFrame:
+    """Rows (source, version, documents, words, characters, entries_sha256) of entries: by source, sizes and one hash of all.
+
+    The hash is made of the sums of the eight parts of the entries' digests, so it needs no order and no group in one task, and
+    repeated entries count.
     """
-    entry = F.conv(F.substring(F.sha2(F.concat_ws("\u0001", "doc_id", F.sha2("text", 256)), 256), 1, 15), 16, 10).cast("decimal(38,0)")
-    return documents.groupBy("source").agg(F.lit(version).alias("version"), F.count(F.lit(1)).alias("documents"), F.sum(F.length("text")).alias("characters"), F.sha2(F.sum(entry).cast("string"), 256).alias("entries_sha256"))
+    parts = [F.sum(F.conv(F.substring("entry_sha256", 1 + 8 * i, 8), 16, 10).cast("decimal(38,0)")) for i in range(8)]
+    return entries.groupBy("source", "version").agg(
+        F.count(F.lit(1)).alias("documents"), F.sum("words").alias("words"), F.sum("characters").alias("characters"), F.sha2(F.concat_ws("-", *(p.cast("string") for p in parts)), 256).alias("entries_sha256")
+    )
+
+
+def consolidate(documents: DataFrame, path: str, version: str) -> DataFrame:
+    """Writes the texts of a version, in one directory for each source, and its manifest; what the version held of these sources
+    before is replaced. Returns the manifest as it was written."""
+    documents.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(f"{path}/{version}/texts")
+    written = documents.sparkSession.read.parquet(f"{path}/{version}/texts")
+    entries = manifest_entries(written, version)
+    entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(f"{path}/{version}/entries")
+    return manifest(documents.sparkSession.read.parquet(f"{path}/{version}/entries"))
 
 
 def status_counts(df: DataFrame, source: str, status: str, values: list[str]) -> DataFrame:
@@ -139,16 +159,19 @@ def audited(documents: DataFrame, audits: DataFrame, least_score: int, version:
     return documents.join(last.select("document_id", "editorial_score"), "document_id")
 
 
-def resolved_paths(documents: DataFrame, existing: DataFrame) -> DataFrame:
+def resolved_paths(documents: DataFrame, existing: DataFrame, required: bool = False) -> DataFrame:
     """Rows (document_id, path): the first of canonical_path, the path made of source and id, and original_path that exists.
 
-    existing: the paths there are. One join whatever the number of ways; path is null where none exists.
+    existing: the paths there are. One join whatever the number of ways; path is null where none exists, or an error if required.
     """
     made = F.concat(F.lit("data/canonical/"), "source_code", F.lit("/"), "document_id", F.lit(".txt"))
     ways = F.array(F.col("canonical_path"), made, F.col("original_path"))
     each = documents.select("document_id", F.posexplode(ways).alias("way", "path")).join(existing.select("path", F.lit(True).alias("found")).distinct(), "path", "left")
     best = F.min(F.when(F.col("found"), F.struct("way", "path"))).alias("best")
-    return each.groupBy("document_id").agg(best).select("document_id", F.col("best.path").alias("path"))
+    path = F.col("best.path")
+    if required:
+        path = F.coalesce(path, F.raise_error(F.concat(F.lit("no text of "), "document_id")).cast("string"))
+    return each.groupBy("document_id").agg(best).select("document_id", path.alias("path"))
 
 
 def most_common(df: DataFrame, column: str, most: int) -> DataFrame:
@@ -160,3 +183,11 @@ def most_common(df: DataFrame, column: str, most: int) -> DataFrame:
 def audit_counts(audits: DataFrame) -> DataFrame:
     """Audits by version, profile and editorial status, nulls as groups of their own, and how many of them approve."""
     return audits.groupBy("corpus_version", "audit_profile", "editorial_status").agg(F.count(F.lit(1)).alias("n"), F.count_if("approved").alias("approved"))
+
+
+def reprocessed(documents: DataFrame) -> DataFrame:
+    """Stored normalized texts in canonical form again, with fresh measures and hash; doing it twice changes nothing more."""
+    text = T.canonical(F.col("text"))
+    return documents.withColumn("text", text).select(
+        *documents.columns, F.sha2("text", 256).alias("canonical_sha256"), T.word_count(F.col("text")).alias("word_count"), F.length("text").cast("long").alias("character_count"), T.paragraph_count(F.col("text")).alias("paragraph_count")
+    )

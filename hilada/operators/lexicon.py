@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as T
-from ..session import spread
+from ..session import spread, written
 
 FIRST_TOKEN, LAST_TOKEN = 536, 65535
 SIZES = (20_000, 30_000, 40_000, 50_000, 65_000)
@@ -19,14 +19,15 @@ def frequencies(documents: DataFrame, source: str = "source") -> DataFrame:
     """Rows (source, word, frequency, document_frequency).
 
     One shuffle: in a text's sorted words the first of equal ones is marked, so occurrences and documents are counted by one
-    aggregate, which tasks combine before anything is sent. Null texts have no words; a null source is kept apart.
+    aggregate, which tasks combine before anything is sent. Null texts have no words; a null source is kept apart. The counts are
+    written as a table, so that whatever ranks or compares them doesn't cut texts into words again.
     """
     rows = spread(documents.select(F.col(source).alias("source"), "text"))
     words = F.array_sort(T.lexical_tokens(F.col("text")))
     rows = rows.select("source", words.alias("ws"))  # no filter on ws: it would be made below the shuffle, a second time
     marked = F.transform("ws", lambda w, i: F.struct(w.alias("word"), F.coalesce(F.get("ws", i - 1) != w, F.lit(True)).alias("first")))
     each = rows.select("source", F.inline(marked))
-    return each.groupBy("source", "word").agg(F.count(F.lit(1)).alias("frequency"), F.count_if("first").alias("document_frequency"))
+    return written(each.groupBy("source", "word").agg(F.count(F.lit(1)).alias("frequency"), F.count_if("first").alias("document_frequency")))
 
 
 def merged(by_source: DataFrame) -> DataFrame:
@@ -43,17 +44,28 @@ def ranked(by_source: DataFrame) -> DataFrame:
     """Adds to each source's words: ranking, token, relative_frequency, cumulative_frequency, coverage (percent).
 
     Ranked by frequency, then by code points; shares refer to the whole vocabulary. A source's words never meet in one task:
-    they are numbered inside groups of one frequency and the same first letters, and a small histogram of these groups says
-    how many words and occurrences stand before each. Words of a group are equally frequent, so sums need no running total.
+    they are numbered inside groups of one frequency and the same first letters. How many words and occurrences stand before a
+    group is told by a histogram in two steps: over bands of the groups (a frequency under 16 with two letters, or a range of
+    greater ones), whose number has a bound, and inside each band. Words of a group are equally frequent, so sums need no running
+    total.
     """
-    rows = by_source.withColumn("head", F.substring("word", 1, 3))
+    few = F.col("frequency") < 16
+    band = [F.when(few, F.col("frequency")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("frequency"))).cast("long")).alias("g_level"), F.when(few, F.substring("word", 1, 2)).otherwise("").alias("g_letters")]
+    rows = by_source.withColumn("head", F.substring("word", 1, 5))
     at = ["source", "frequency", "head"]
-    groups = rows.groupBy(*at).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("source").orderBy(F.desc("frequency"), "head").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = groups.select(
-        F.col("source").alias("g_source"), F.col("frequency").alias("g_frequency"), F.col("head").alias("g_head"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("words_ahead"), F.coalesce(F.sum(F.col("n") * F.col("frequency")).over(before), F.lit(0)).alias("sum_ahead"),
-        F.sum(F.col("n") * F.col("frequency")).over(Window.partitionBy("source")).alias("total"),
+    n, sums = F.col("n"), F.col("n") * F.col("frequency")
+    groups = rows.groupBy(*at, *band).agg(F.count(F.lit(1)).alias("n"))
+    above = Window.partitionBy("source").orderBy(F.desc("g_level"), "g_letters").rowsBetween(Window.unboundedPreceding, -1)
+    bands = groups.groupBy("source", "g_level", "g_letters").agg(F.sum(n).alias("bn"), F.sum(sums).alias("bs"))
+    bands = bands.select(
+        F.col("source").alias("b_source"), F.col("g_level").alias("b_level"), F.col("g_letters").alias("b_letters"), F.coalesce(F.sum("bn").over(above), F.lit(0)).alias("b_words"), F.coalesce(F.sum("bs").over(above), F.lit(0)).alias("b_sum"),
+        F.sum("bs").over(Window.partitionBy("source")).alias("total"),
+    )
+    before = Window.partitionBy("source", "g_level", "g_letters").orderBy(F.desc("frequency"), "head").rowsBetween(Window.unboundedPreceding, -1)
+    inner = groups.withColumn("words_in", F.coalesce(F.sum(n).over(before), F.lit(0))).withColumn("sum_in", F.coalesce(F.sum(sums).over(before), F.lit(0)))
+    same = F.col("source").eqNullSafe(F.col("b_source")) & (F.col("g_level") == F.col("b_level")) & (F.col("g_letters") == F.col("b_letters"))
+    ahead = inner.join(bands, same).select(
+        F.col("source").alias("g_source"), F.col("frequency").alias("g_frequency"), F.col("head").alias("g_head"), (F.col("words_in") + F.col("b_words")).alias("words_ahead"), (F.col("sum_in") + F.col("b_sum")).alias("sum_ahead"), "total",
     )
     met = F.col("source").eqNullSafe(F.col("g_source")) & (F.col("frequency") == F.col("g_frequency")) & (F.col("head") == F.col("g_head"))
     inside = F.row_number().over(Window.partitionBy(*at).orderBy("word"))
@@ -70,6 +82,15 @@ def top(by_source: DataFrame, size: int) -> DataFrame:
     return ranked(by_source).where(F.col("ranking") <= size)
 
 
+def top_exact(by_source: DataFrame, requested: int) -> DataFrame:
+    """top() of a requested size, moved into what is allowed; a source with fewer words than that is an error."""
+    size = clamped(requested)
+    rows = top(by_source, size)
+    few = F.max("ranking").over(Window.partitionBy("source")) < size
+    enough = F.when(few, F.raise_error(F.concat(F.lit(f"fewer than {size} words in "), F.coalesce("source", F.lit("no source")))).cast("long")).otherwise(F.col("ranking"))
+    return rows.withColumn("ranking", enough)
+
+
 def clamped(requested: int, most: int = 65_000) -> int:
     return max(1, min(requested, most))
 
@@ -101,6 +122,16 @@ def versions(by_source: DataFrame, sizes: tuple[int, ...] = SIZES) -> DataFrame:
     )
 
 
+def version_checks(rows: DataFrame) -> DataFrame:
+    """Of rows of versions: whether as many words are selected as the size and the vocabulary allow, tokens are in their range, and
+    no more is covered than there is."""
+    return rows.select(
+        "source", "size", (F.col("selected") == F.least("size", "vocabulary")).alias("selects_all"),
+        ((F.col("first_token") == FIRST_TOKEN) & (F.col("last_token") == FIRST_TOKEN + F.col("selected") - 1) & (F.col("last_token") <= LAST_TOKEN)).alias("tokens_in_range"),
+        ((F.col("covered") <= F.col("total_occurrences")) & (F.col("covered") + F.col("outside") == F.col("total_occurrences"))).alias("covered_in_total"),
+    )
+
+
 def cutoff_coverage(by_source: DataFrame, cutoffs: tuple[int, ...] = CUTOFFS) -> DataFrame:
     """Cumulative coverage at the cutoffs; those beyond a vocabulary are left out."""
     return ranked(by_source).where(F.col("ranking").isin(*cutoffs)).select("source", F.col("ranking").alias("cutoff"), "cumulative_frequency", "coverage")

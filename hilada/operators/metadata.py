@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import html as html_module
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import text as T
 
@@ -28,24 +32,32 @@ def _holds(part: str):
 
 
 def web_addresses(identifiers: Column) -> Column:
-    return F.filter(identifiers, lambda i: i.rlike("^https?://"))
+    return F.filter(F.transform(identifiers, T.strip), lambda i: i.rlike("^https?://"))
 
 
 def pdf_address(identifiers: Column) -> Column:
     """The first web address that ends in .pdf (also before a query) or asks for a PDF script."""
-    return F.get(F.filter(web_addresses(identifiers), lambda i: F.lower(i).rlike("\\.pdf($|\\?)") | F.contains(F.lower(i), F.lit("script=sci_pdf"))), F.lit(0))
+    return F.get(F.filter(web_addresses(identifiers), lambda i: i.rlike("(?i)\\.pdf($|\\?)") | F.contains(i, F.lit("script=sci_pdf"))), F.lit(0))
 
 
-def article_address(identifiers: Column, preferred: tuple[str, ...] = ("sci_arttext", "/art/")) -> Column:
-    """The first web address with the first preferred part that any has; else the first."""
+def article_address(identifiers: Column) -> Column:
+    """The first web address that asks for an article's text; else the first that names the library; else the first."""
     every = web_addresses(identifiers)
-    best = [F.get(F.filter(every, _holds(p)), F.lit(0)) for p in preferred]
-    return F.coalesce(*best, F.get(every, F.lit(0)))
+    text = F.get(F.filter(every, lambda i: F.contains(i, F.lit("script=sci_arttext"))), F.lit(0))
+    return F.coalesce(text, F.get(F.filter(every, _holds("scielo")), F.lit(0)), F.get(every, F.lit(0)))
 
 
 def candidate_pdf(address: Column) -> Column:
-    """The PDF address that an article's address leads to, if it has an identifier."""
-    return F.when(F.parse_url(address, F.lit("QUERY"), F.lit("pid")).isNotNull(), F.regexp_replace(address, "script=sci_arttext", "script=sci_pdf"))
+    """The PDF address that an article's address leads to, if its query has a pid: each name of the query once, without empty
+    ones, and the script that gives PDF files."""
+    pairs = F.filter(F.split(F.parse_url(address, F.lit("QUERY")), "&"), lambda p: p.rlike("^[^=]+=."))
+    name = lambda p: F.split_part(p, F.lit("="), F.lit(1))
+    names = F.transform(pairs, name)
+    first = F.filter(pairs, lambda p, i: F.array_position(names, name(p)) == i + 1)
+    scripted = F.transform(first, lambda p: F.when(name(p) == "script", F.lit("script=sci_pdf")).otherwise(p))
+    whole = F.when(F.array_contains(names, "script"), scripted).otherwise(F.array_append(scripted, F.lit("script=sci_pdf")))
+    parts = F.regexp_extract(address, "^([^?#]*)", 1), F.regexp_extract(address, "(#.*)$", 1)
+    return F.when(F.array_contains(names, "pid"), F.concat(parts[0], F.lit("?"), F.array_join(whole, "&"), parts[1]))
 
 
 def issues(df: DataFrame, key: str, column: str, trimmed: bool = True) -> DataFrame:
@@ -63,22 +75,30 @@ def issues(df: DataFrame, key: str, column: str, trimmed: bool = True) -> DataFr
 
 
 def oai_records(df: DataFrame, column: str = "xml") -> DataFrame:
-    """Adds the fields of an OAI-PMH record in XML: identifier, datestamp, titles and so on; deleted ones have none.
+    """Adds the fields of an OAI-PMH record in XML; deleted ones, and those without an identifier or metadata, have none.
 
-    Elements are taken by pattern, so that one bad record can't stop a job; the first title, language, type and date hold.
+    Elements are taken by pattern, so that one bad record can't stop a job; the first title, language, type and date hold. The
+    PDF's address is the first among the identifiers or, if there is none, the one that the article's address leads to.
     """
     x = F.col(column)
-    deleted = x.rlike("<header[^>]*status=\"deleted\"")
+    header = F.regexp_extract(x, "(?s)<(?:\\w+:)?header\\b.*?</(?:\\w+:)?header>", 0)
+    body = F.regexp_extract(x, "(?s)<(?:\\w+:)?metadata\\b.*?</(?:\\w+:)?metadata>", 0)
 
-    def every(tag: str) -> Column:
-        found = F.regexp_extract_all(x, F.lit(f"(?s)<(?:\\w+:)?{tag}(?:\\s[^>]*)?>(.*?)</(?:\\w+:)?{tag}>"), F.lit(1))
+    def every(part: Column, tag: str) -> Column:
+        found = F.regexp_extract_all(part, F.lit(f"(?s)<(?:\\w+:)?{tag}(?:\\s[^>]*)?>(.*?)</(?:\\w+:)?{tag}>"), F.lit(1))
         return F.filter(F.transform(found, _unescaped), lambda v: v != "")
 
-    first = lambda tag: F.when(~deleted, F.get(every(tag), F.lit(0)))
-    return df.withColumns({
-        "identifier": F.get(every("identifier"), F.lit(0)), "oai_datestamp": F.get(every("datestamp"), F.lit(0)), "title": first("title"), "language": F.lower(first("language")),
-        "resource_type": F.lower(first("type")), "publication_date": first("date"), "authors": F.when(~deleted, every("creator")), "subjects": F.when(~deleted, every("subject")), "deleted": deleted,
+    first = lambda part, tag: F.get(every(part, tag), F.lit(0))
+    deleted = header.rlike("<(?:\\w+:)?header[^>]*status=\"deleted\"")
+    known = ~deleted & first(header, "identifier").isNotNull() & F.contains(body, F.lit(":dc"))
+    of = lambda c: F.when(known, c)
+    out = df.withColumns({
+        "deleted": deleted, "identifier": of(first(header, "identifier")), "oai_datestamp": of(first(header, "datestamp")), "title": of(first(body, "title")), "authors": of(every(body, "creator")),
+        "language": of(F.lower(first(body, "language"))), "resource_type": of(F.lower(first(body, "type"))), "publication_date": of(first(body, "date")), "identifiers": of(every(body, "identifier")),
+        "subjects": of(every(body, "subject")), "rights": of(every(body, "rights")), "descriptions": of(every(body, "description")),
     })
+    out = out.withColumn("article_url", article_address(F.col("identifiers")))
+    return out.withColumn("pdf_url", F.coalesce(pdf_address(F.col("identifiers")), candidate_pdf(F.col("article_url"))))
 
 
 def _unescaped(c: Column) -> Column:
@@ -101,7 +121,7 @@ def newest_snapshot(html: Column) -> Column:
 
 
 def pdf_link(html: Column) -> Column:
-    found = F.regexp_extract(html, "https?://[^\\s\"'<>]+\\.pdf", 0)
+    found = F.regexp_extract(html, "(?i)https?://[^\\s\"'<>]+\\.pdf", 0)
     return F.when(found != "", found)
 
 
@@ -129,12 +149,17 @@ def script_sources(html: Column, domain: str, excluded: tuple[str, ...] = ()) ->
     return kept
 
 
+@F.pandas_udf(StringType())
+def resolved(texts: pd.Series) -> pd.Series:
+    """Character references as the characters they stand for."""
+    return texts.map(lambda t: html_module.unescape(t) if t is not None and "&" in t else t)
+
+
 def visible_text(html: Column) -> Column:
-    """What a reader sees: no scripts, styles and tags, entities resolved, single blanks."""
+    """What a reader sees: no scripts, styles and tags, references resolved, single blanks."""
     bare = F.regexp_replace(html, "(?is)<(script|style|noscript)\\b.*?</\\1\\s*>|<!--.*?-->", " ")
-    bare = F.regexp_replace(bare, "(?s)<[^>]*>", " ")
-    bare = F.replace(F.replace(bare, F.lit("&nbsp;"), F.lit(" ")), F.lit("&#39;"), F.lit("'"))
-    return T.strip(F.regexp_replace(_unescaped(bare), f"[{T.WS}]+", " "))
+    bare = resolved(F.regexp_replace(bare, "(?s)<[^>]*>", " "))
+    return T.strip(F.regexp_replace(bare, f"[{T.WS}]+", " "))
 
 
 def keyword_lines(df: DataFrame, key: str, html: str, keywords: list[str], size: int = 500) -> DataFrame:
@@ -155,3 +180,17 @@ def linked_ids(df: DataFrame, key: str, html: str, patterns: list[str]) -> DataF
         found = F.coalesce(found, F.nullif(F.regexp_extract("href", p, 1), F.lit("")))
     rows = each.withColumn("id", found).where("id is not null").withColumn("label", visible_text(F.col("a")))
     return rows.groupBy(key, "id").agg(F.min(F.struct("i", "label")).alias("f")).select(key, "id", F.col("f.label").alias("label"))
+
+
+def numbered_ids(df: DataFrame, key: str, html: str, patterns: list[str]) -> DataFrame:
+    """Rows (key, linked, only_in_html, all_ids): ids of links, ids that stand only elsewhere in the page, and how many ids there
+    are; ids in the order of their numbers."""
+    hrefs = F.regexp_extract_all(F.col(html), F.lit("(?i)<a\\s[^>]*href=\"([^\"]*)\""), F.lit(1))
+    first_in = lambda p: lambda h: F.slice(F.regexp_extract_all(h, F.lit(f"(?i){p}"), F.lit(1)), 1, 1)
+    of_links = [F.flatten(F.transform(hrefs, first_in(p))) for p in patterns]
+    of_page = [F.regexp_extract_all(F.col(html), F.lit(f"(?i){p}"), F.lit(1)) for p in patterns]
+    by_number = lambda ids: F.transform(F.array_sort(F.transform(F.array_distinct(ids), lambda i: F.struct(i.cast("decimal(38,0)").alias("n"), i.alias("i")))), lambda s: s["i"])
+    linked, every = F.concat(*of_links), F.concat(*of_page)
+    return df.select(
+        key, by_number(linked).alias("linked"), by_number(F.array_except(every, linked)).alias("only_in_html"), F.size(F.array_union(every, linked)).cast("long").alias("all_ids"),
+    )

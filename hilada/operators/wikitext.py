@@ -16,15 +16,41 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from ..functions import text as T
 
-# Countries by name, months, and names of templates and links that carry no text or their last value.
+# Countries by name, months, and names of templates: those without text, those that give their last value, those that
+# give all their values; tags that are dropped with what they hold.
 COUNTRIES = {
-    "argentina": "AR", "bolivia": "BO", "chile": "CL", "colombia": "CO", "costa rica": "CR", "cuba": "CU", "república dominicana": "DO", "ecuador": "EC", "el salvador": "SV", "españa": "ES", "guatemala": "GT",
-    "guinea ecuatorial": "GQ", "honduras": "HN", "méxico": "MX", "nicaragua": "NI", "panamá": "PA", "paraguay": "PY", "perú": "PE", "puerto rico": "PR", "uruguay": "UY", "venezuela": "VE", "estados unidos": "US",
-}
+    "Argentina": "AR",
+    "Bolivia": "BO",
+    "Brasil": "BR",
+    "Chile": "CL",
+    "Colombia": "CO",
+    "Costa Rica": "CR",
+    "Cuba": "CU",
+    "Ecuador": "EC",
+    "El Salvador": "SV",
+    "España": "ES",
+    "Estados Unidos": "US",
+    "Guatemala": "GT",
+    "Honduras": "HN",
+    "México": "MX",
+    "Nicaragua": "NI",
+    "Panamá": "PA",
+    "Paraguay": "PY",
+    "Perú": "PE",
+    "Puerto Rico": "PR",
+    "República Dominicana": "DO",
+    "Uruguay": "UY",
+    "Venezuela": "VE",
+}
 MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")
-SILENT = frozenset("fecha de publicación|publicar|artículo sin publicar|en desarrollo|otros proyectos|wikipedia|commons|commonscat|listaref|referencias|reflist|refs|portal|destacado|aviso|borrar|categoría|categorizar|ordenar|traducción|control de autoridades|clear|esbozo|main|véase también|nota".split("|"))
-LAST_VALUE = frozenset("lang idioma lang-es lang-en lang-fr lang-de lang-it lang-pt".split())
-JOINED = frozenset("unidad convertir formatnum esd ipa afi".split())
+SILENT = {
+    "rp", "refn", "harvnp", "harvtxt", "sfn", "sfnp", "sfnref", "listaref", "referencias", "control de autoridades", "commonscat", "commons category", "portal", "portal asociado", "otros usos", "otro uso",
+    "redirige aquí", "redirige aqui", "distinguir", "desambiguación", "desambiguacion", "wikcionario", "wikisource", "wikiquote", "wikilibros", "wikiviajes",
+}
+SILENT_HEADS = ("ficha", "infobox", "cita ", "cita_", "cite ", "cite_")
+LAST_VALUE = {"lang", "lang-es", "lang-en", "lang-la", "nombre original", "transl", "transliteration"}
+CENTURIES = {"siglo", "siglo2"}
+JOINED = {"ipa", "afi", "unidad", "convertir", "formatnum", "esd", "fecha", "fecha de inicio", "fecha de fin"}
 NO_TEXT_LINKS = ("archivo:", "file:", "imagen:", "image:", "categoría:", "categoria:", "category:")
 DROPPED = "gallery|math|source|syntaxhighlight|timeline|imagemap|score|mapframe|maplink|ref|references"
 
@@ -50,18 +76,19 @@ def without_tables(text: str) -> str:
 
 
 def _template(inner: str) -> str:
-    parts = [p.strip() for p in inner.split("|")]
-    name = " ".join(parts[0].replace("_", " ").split()).lower()
-    values = [p for p in parts[1:] if p and "=" not in p]
-    if name in SILENT or name.startswith(("ficha", "infobox", "cita ", "cite ")):
+    """The text that a template leaves: by its name, or its only value."""
+    head, *rest = inner.split("|")
+    name = head.strip().lower()
+    values = [v for v in (p.partition("=")[2].strip() if "=" in p else p.strip() for p in rest) if v]
+    if name in SILENT or name.startswith(SILENT_HEADS):
         return ""
-    if name in LAST_VALUE:
-        return values[-1] if values else ""
-    if name in ("siglo", "siglo2"):
-        return f"siglo {values[0]}" if values else ""
-    if name in JOINED or name.startswith("fecha"):
+    if name in JOINED:
         return " ".join(values)
-    return values[0] if len(values) == 1 else ""
+    if name in CENTURIES:
+        return f"siglo {values[0]}" if values else ""
+    if name in LAST_VALUE or len(values) == 1:
+        return values[-1] if values else ""
+    return ""
 
 
 def _link(m: re.Match) -> str:
@@ -123,7 +150,7 @@ def categories(c: Column) -> Column:
 
 def countries(names: Column) -> Column:
     """Codes of the countries that are categories, sorted."""
-    known = F.create_map(*[F.lit(x) for pair in COUNTRIES.items() for x in pair])
+    known = F.create_map(*[F.lit(x) for name, code in COUNTRIES.items() for x in (name.lower(), code)])
     return F.array_sort(F.array_distinct(F.filter(F.transform(names, lambda n: F.element_at(known, F.lower(n))), lambda x: x.isNotNull())))
 
 
@@ -141,39 +168,68 @@ def publication_date(c: Column) -> Column:
     return F.coalesce(of(three), of(written))
 
 
-FEATURES = {
-    "templates": "\\{\\{", "tables": "\\{\\|", "references": "(?i)<ref[\\s>/]", "categories": "(?iu)\\[\\[\\s*categor[íi]a\\s*:", "files": "(?iu)\\[\\[\\s*(?:archivo|file|imagen|image)\\s*:",
-    "internal_links": "\\[\\[", "external_links": "\\[https?://", "headings": "(?m)^={2,6}[^=\\n]", "comments": "<!--",
+# What counts as one of each kind of markup, by its opening alone and as a whole construct.
+OPENINGS = {
+    "internal_links": "\\[\\[", "external_links": "\\[(?:https?://)", "templates": "\\{\\{", "references": "(?i)<ref\\b", "tables": "\\{\\|", "headings": "(?m)^={2,6}[^=\n].*?={2,6}\\s*$",
+    "categories": "(?iu)\\[\\[\\s*Categor[ií]a\\s*:", "files": "(?iu)\\[\\[\\s*(?:Archivo|File|Imagen)\\s*:", "html_comments": "<!--", "math_tags": "(?i)<math\\b",
+}
+CONSTRUCTS = {
+    "internal_links": "\\[\\[[^\\]]+\\]\\]", "templates": "(?s)\\{\\{.*?\\}\\}", "references": "(?is)<ref\\b[^>]*>.*?</ref\\s*>|<ref\\b[^>]*/\\s*>", "headings": "(?m)^={2,6}.*?={2,6}\\s*$",
+    "external_links": "\\[(?:https?|ftp)://[^\\s\\]]+", "files": "(?iu)\\[\\[\\s*(?:Archivo|File|Imagen|Image)\\s*:", "html_comments": "(?s)<!--.*?-->", "tables": "\\{\\|",
 }
 
 
-def features(c: Column) -> dict[str, Column]:
-    """Counts of the openings of each kind of markup."""
-    return {name: F.regexp_count(c, F.lit(p)).cast("long") for name, p in FEATURES.items()}
+def features(c: Column, kinds: dict[str, str] = OPENINGS) -> dict[str, Column]:
+    """Counts of each kind of markup, by OPENINGS or as CONSTRUCTS."""
+    return {name: F.regexp_count(c, F.lit(p)).cast("long") for name, p in kinds.items()}
+
+
+def has_date_template(c: Column) -> Column:
+    return F.coalesce(c.rlike("(?i)\\{\\{\\s*(?:fecha|date)\\s*\\|"), F.lit(False))
 
 
-def is_redirect(c: Column) -> Column:
-    return F.coalesce(F.lower(F.ltrim(c)).rlike("^#redirec(t|ción)"), F.lit(False))
+def is_redirect(text: Column, tag: Column, way: str = "tag") -> Column:
+    """Whether a page only leads to another one: by its tag; by its tag or the text's head ("text"); or with any white space
+    before the sign ("pattern")."""
+    by_tag = tag.isNotNull()
+    if way == "tag":
+        return by_tag
+    head = F.lower(F.regexp_replace(text, f"^[{T.WS}]+", "")).startswith("#redirec") & F.lower(F.regexp_replace(text, f"^[{T.WS}]+", "")).rlike("^#redirec(?:t|ción)")
+    return by_tag | F.coalesce(head if way == "text" else text.rlike("(?iu)^\\s*#(?:REDIRECT|REDIRECCIÓN)"), F.lit(False))
 
 
-def scanned(pages: DataFrame) -> DataFrame:
+def _blank(c: Column) -> Column:
+    return F.coalesce(T.strip(c), F.lit("")) == ""
+
+
+def scanned(pages: DataFrame, dump: str = "wikipedia") -> DataFrame:
     """Rows of a dump's pages (see sources.xml_pages) with outcome: why a page is left out, or 'article' with its plain text.
 
-    Cheap tests come before the cleaner, which sees articles only.
+    An encyclopedia's dump ("wikipedia") is tested for: another namespace, a redirect by its tag, a blank text, a text of which
+    nothing is left, a missing id. A news dump ("wikinews") is tested for: another namespace, a redirect by tag or text, a blank
+    text, a missing id, a text of which nothing is left; its articles also have date, categories and countries. All tests but that
+    of the cleaned text come before the cleaner, which sees no other pages.
     """
-    early = (
-        F.when(F.coalesce("ns", F.lit(-1)) != 0, "other namespace").when(F.col("redirect").isNotNull() | is_redirect(F.col("text")), "redirect")
-        .when(F.coalesce(T.strip(F.col("text")), F.lit("")) == "", "blank").when(F.col("page_id").isNull(), "no id")
-    )
+    other = F.coalesce("ns", F.lit(-1)) != 0
+    early = F.when(other, "other namespace").when(is_redirect(F.col("text"), F.col("redirect"), "text" if dump == "wikinews" else "tag"), "redirect").when(_blank(F.col("text")), "blank")
+    if dump == "wikinews":
+        early = early.when(F.col("page_id").isNull(), "no id")
     judged = pages.withColumn("outcome", early)
-    rest = judged.where("outcome is null").withColumn("c", cleaned("text")).select(*pages.columns, F.when(F.col("c.text") == "", "empty").otherwise("article").alias("outcome"), F.col("c.text").alias("plain"), F.col("c.reduction_ratio").alias("reduction_ratio"))
-    return judged.where("outcome is not null").withColumn("plain", F.lit(None).cast("string")).withColumn("reduction_ratio", F.lit(None).cast("double")).unionByName(rest)
+    last = F.when(F.col("c.text") == "", "empty").when(F.col("page_id").isNull(), "no id").otherwise("article")
+    rest = judged.where("outcome is null").withColumn("c", cleaned("text")).withColumn("outcome", last)
+    rest = rest.select(*pages.columns, "outcome", F.when(F.col("outcome") == "article", F.col("c.text")).alias("plain"), F.col("c.reduction_ratio").alias("reduction_ratio"))
+    out = judged.where("outcome is not null").withColumn("plain", F.lit(None).cast("string")).withColumn("reduction_ratio", F.lit(None).cast("double")).unionByName(rest)
+    if dump != "wikinews":
+        return out
+    of_article = lambda c: F.when(F.col("outcome") == "article", c)
+    names = categories(F.col("text"))
+    return out.withColumns({"publication_date": of_article(publication_date(F.col("text"))), "categories": of_article(names), "geographic_scope": of_article(countries(names))})
 
 
 def countries_mentioned(names: Column) -> Column:
     """Codes of the countries whose name stands anywhere in a category, sorted."""
     holds = lambda part: lambda n: F.contains(F.lower(n), F.lit(part))
-    found = [F.when(F.exists(names, holds(k)), F.lit(code)) for k, code in COUNTRIES.items()]
+    found = [F.when(F.exists(names, holds(k.lower())), F.lit(code)) for k, code in COUNTRIES.items()]
     return F.array_sort(F.array_distinct(F.filter(F.array(*found), lambda x: x.isNotNull())))
 
 
@@ -188,10 +244,33 @@ def outcomes(scan: DataFrame) -> DataFrame:
 
 
 def namespaces(pages: DataFrame) -> DataFrame:
-    return pages.groupBy("ns").agg(F.count(F.lit(1)).alias("pages"), F.count_if(F.col("redirect").isNotNull() | is_redirect(F.col("text"))).alias("redirects"))
+    return pages.groupBy("ns").agg(F.count(F.lit(1)).alias("pages"), F.count_if(is_redirect(F.col("text"), F.col("redirect"), "pattern")).alias("redirects"))
 
 
 def top_categories(pages: DataFrame, most: int = 100) -> DataFrame:
     """The most frequent categories, ties by name."""
     each = pages.select(F.explode(categories(F.col("text"))).alias("category"))
     return each.groupBy("category").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "category").limit(most)
+
+
+def content_counters(pages: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """One row: pages, articles and what leads to none, lengths of articles, how many have categories or a date template, and the
+    sums of CONSTRUCTS. The counters of an analysis of a whole dump, by one aggregate."""
+    namespace = F.coalesce("ns", F.lit(-1)) == 0
+    empty, leads = F.coalesce("text", F.lit("")) == "", is_redirect(F.col("text"), F.col("redirect"), "text")
+    article = namespace & ~empty & ~leads
+    of = lambda c: F.when(article, c)
+    has = F.size(categories(F.col("text"))) > 0
+    sums = [F.coalesce(F.sum(of(c)), F.lit(0)).alias(f"{n}_total") for n, c in features(F.col("text"), CONSTRUCTS).items()]
+    n = F.length("text")
+    return pages.agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if(namespace).alias("namespace_zero"), F.count_if(namespace & empty).alias("empty_text"), F.count_if(namespace & ~empty & leads).alias("redirects"),
+        F.count_if(article).alias("articles"), F.sum(of(n)).cast("long").alias("characters"), F.min(of(n)).cast("long").alias("shortest"), F.max(of(n)).cast("long").alias("longest"),
+        F.count_if(article & has).alias("with_categories"), F.count_if(article & ~has).alias("without_categories"), F.count_if(article & has_date_template(F.col("text"))).alias("with_date_template"), *sums,
+    )
+
+
+def country_counts(pages: DataFrame) -> DataFrame:
+    """Rows (country, articles): articles with a category that holds the country's name."""
+    found = pages.select(F.explode(countries_mentioned(categories(F.col("text")))).alias("country"))
+    return found.groupBy("country").agg(F.count(F.lit(1)).alias("articles"))

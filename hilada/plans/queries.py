@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import corpus, lexicon, metadata, quality, recovery, wikitext
+from ..operators import corpus, lexicon, metadata, quality, recovery
 from ..session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,18 @@ def lexicon_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.versions(_frequencies(spark, sf_dir), SMALL_SIZES)
 
 
+@query("WITH " + ALL_SQL + ", n AS (SELECT source, count(*) AS vocabulary FROM every GROUP BY source), " + SIZES_SQL + """ SELECT source, size, least(size, vocabulary) <= vocabulary AS selects_all, 536 + least(size, vocabulary) - 1 <= 65535 AS tokens_in_range, true AS covered_in_total FROM n CROSS JOIN sizes""")
+def version_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.version_checks(lexicon.versions(_frequencies(spark, sf_dir), SMALL_SIZES))
+
+
+@query("WITH " + MERGED_SQL + ", m AS (SELECT 'completo' AS source, * FROM merged)" + ranked_sql("r", "m") + " SELECT ranking, word, frequency FROM r WHERE ranking <= 300")
+def lexicon_top_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 300 first words of all sources; fewer would be an error."""
+    every = lexicon.merged(_frequencies(spark, sf_dir)).withColumn("source", F.lit(lexicon.ALL))
+    return lexicon.top_exact(every, 300).select("ranking", "word", "frequency")
+
+
 @query("WITH " + FREQ_SQL + ranked_sql("r", "freq") + """ SELECT source, ranking AS cutoff, cumulative_frequency, cumulative_frequency * 100.0::DOUBLE / total AS coverage FROM r
  WHERE ranking IN (10, 50, 100, 128, 512, 1024, 5000, 10000, 25000, 50000, 65000)""")
 def lexicon_cutoff_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,14 +125,14 @@ def _sources(spark: SparkSession, sf_dir: str, n: int) -> list[str]:
 
 
 def _comparison_sql() -> str:
-    first = ", s AS (SELECT source_code, row_number() OVER (ORDER BY source_code) - 1 AS i FROM source), p AS (SELECT r.word, s.i, r.frequency, r.ranking FROM r JOIN s ON r.source = s.source_code WHERE s.i < 4)"
-    columns = ", ".join(f"coalesce(max(p.frequency) FILTER (p.i = {i}), 0)::BIGINT AS frequency_{i}" for i in range(4)) + ", " + ", ".join(f"coalesce(max(p.ranking) FILTER (p.i = {i}), 0)::BIGINT AS ranking_{i}" for i in range(4))
+    first = ", s AS (SELECT source_code, row_number() OVER (ORDER BY source_code) - 1 AS i FROM source), p AS (SELECT r.word, s.i, r.frequency, r.ranking FROM r JOIN s ON r.source = s.source_code WHERE s.i < 40)"
+    columns = ", ".join(f"coalesce(max(p.frequency) FILTER (p.i = {i}), 0)::BIGINT AS frequency_{i}" for i in range(40)) + ", " + ", ".join(f"coalesce(max(p.ranking) FILTER (p.i = {i}), 0)::BIGINT AS ranking_{i}" for i in range(40))
     return f"{first} SELECT v.ranking, v.word, v.frequency, {columns} FROM v LEFT JOIN p USING (word) WHERE v.ranking <= 5000 GROUP BY v.ranking, v.word, v.frequency"
 
 
 @query("WITH " + MERGED_SQL + ", m AS (SELECT 'completo' AS source, * FROM merged)" + ranked_sql("v", "m") + ranked_sql("r", "freq") + _comparison_sql())
 def lexicon_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lexicon.comparison(_frequencies(spark, sf_dir), _sources(spark, sf_dir, 4), 5000)
+    return lexicon.comparison(_frequencies(spark, sf_dir), _sources(spark, sf_dir, 40), 5000)
 
 
 def _set_sql(operator: str) -> str:
@@ -144,7 +156,7 @@ def vocabulary_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("WITH " + FREQ_SQL + ranked_sql("r", "freq") + """ SELECT source, count(*)::BIGINT AS words, min(ranking) AS first_rank, max(ranking) AS last_rank, (count(*) - count(DISTINCT ranking))::BIGINT AS repeated_ranks,
- (max(ranking) - min(ranking) + 1 - count(DISTINCT ranking))::BIGINT AS missing_ranks, 0::BIGINT AS wrong_tokens, 0::BIGINT AS tokens_out_of_range FROM r WHERE ranking <= 5000 GROUP BY source""")
+ (max(ranking) - min(ranking) + 1 - count(DISTINCT ranking))::BIGINT AS missing_ranks, count(*) FILTER (token <> 536 + place - 1)::BIGINT AS wrong_tokens, count(*) FILTER (token NOT BETWEEN 536 AND 65535)::BIGINT AS tokens_out_of_range FROM (SELECT *, 536 + ranking - 1 AS token, row_number() OVER (PARTITION BY source ORDER BY frequency DESC, word) AS place FROM r) WHERE ranking <= 5000 GROUP BY source""")
 def sequence_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.integrity(lexicon.top(_frequencies(spark, sf_dir), 5000))
 
@@ -250,16 +262,17 @@ def dedupe_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.exact_duplicates(_documents(spark, sf_dir))
 
 
-@query("SELECT DISTINCT identifier, local_path FROM remote_record r WHERE local_path IS NOT NULL AND NOT EXISTS (SELECT 1 FROM document d WHERE d.original_path = r.local_path)")
+@query("SELECT DISTINCT identifier, local_path FROM remote_record r WHERE local_path IS NOT NULL AND NOT EXISTS (SELECT 1 FROM document d WHERE d.original_path = r.local_path AND d.status = 'CANONICAL' AND d.title IS NOT NULL)")
 def new_records_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = table(spark, sf_dir, "remote_record").where("local_path is not null").select("identifier", "local_path").distinct()
-    return corpus.new_only(records, table(spark, sf_dir, "document").select(F.col("original_path").alias("local_path")), "local_path")
+    return corpus.new_only(records, table(spark, sf_dir, "document").where("status = 'CANONICAL' and title is not null").select(F.col("original_path").alias("local_path")), "local_path")
 
 
-@query("SELECT doc_id, document_id FROM documents x WHERE NOT EXISTS (SELECT 1 FROM editorial_audit a WHERE a.document_id = x.document_id) ORDER BY doc_id LIMIT 100")
+@query("SELECT doc_id, document_id FROM documents x WHERE NOT EXISTS (SELECT 1 FROM editorial_audit a WHERE a.document_id = x.document_id AND a.approved AND a.editorial_score >= 90) ORDER BY doc_id LIMIT 100")
 def first_unaudited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 100 first documents that have no audit: the cap of a run, after what is known is left out."""
-    return corpus.first_new(_documents(spark, sf_dir).select("doc_id", "document_id"), table(spark, sf_dir, "editorial_audit"), "document_id", "doc_id", 100)
+    """The 100 first documents that no audit has approved with 90 or more: the cap of a run, after what is known is left out."""
+    audits = table(spark, sf_dir, "editorial_audit").where("approved and editorial_score >= 90")
+    return corpus.first_new(_documents(spark, sf_dir).select("doc_id", "document_id"), audits, "document_id", "doc_id", 100)
 
 
 @query(FORMS_SQL + f""", f AS (SELECT *, doc_id = min(doc_id) OVER (PARTITION BY sha256(text)) AS kept FROM k)
@@ -374,16 +387,11 @@ def latest_audits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT corpus_version, coalesce(document_type, 'sin_clasificar') AS document_type, count(*)::BIGINT AS documents, sum(anomaly_report.word_count)::BIGINT AS words, sum(anomaly_report.character_count)::BIGINT AS characters,
- sum(editorial_score)::BIGINT AS score_sum, count(*) FILTER (approved)::BIGINT AS approved FROM editorial_audit GROUP BY ALL""")
+ sum(editorial_score)::BIGINT AS score_sum, round_even(avg(editorial_score), 2) AS average_score, count(*) FILTER (approved)::BIGINT AS approved FROM editorial_audit GROUP BY ALL""")
 def corpus_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.statistics(table(spark, sf_dir, "editorial_audit"))
 
 
-@query(None)
-def corpus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.manifest(_documents(spark, sf_dir), "1.0")
-
-
 @query(f"""WITH d AS (SELECT DISTINCT document_id, original_path FROM document WHERE original_path IS NOT NULL),
 r AS (SELECT local_path, oai_datestamp, identifier, title, authors, row_number() OVER (PARTITION BY local_path ORDER BY oai_datestamp DESC NULLS LAST, identifier DESC, title DESC NULLS LAST) AS rn FROM remote_record WHERE local_path IS NOT NULL)
 SELECT document_id, coalesce(r.title, regexp_replace(regexp_extract(original_path, '[^/]*$'), '\\.[^.]*$', '')) AS record_title, r.local_path IS NOT NULL AS recorded FROM d LEFT JOIN r ON r.local_path = d.original_path AND rn = 1""")
@@ -418,8 +426,8 @@ def acquisition_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""SELECT identifier, oai_datestamp, coalesce(lower({strip_sql('language')}) IN ('es', 'esp', 'spa', 'spanish', 'español', 'espanol') OR regexp_matches(lower({strip_sql('language')}), '^es[-_]'), false) AS spanish,
  coalesce(contains(lower(resource_type), 'article') OR contains(lower(resource_type), 'artículo') OR contains(lower(resource_type), 'articulo'), true) AS article,
- list_filter(identifiers, lambda i: regexp_matches(i, '^https?://'))[1] AS address, list_filter(identifiers, lambda i: regexp_matches(i, '^https?://') AND regexp_matches(lower(i), '\\.pdf($|\\?)'))[1] AS pdf,
- len(list_filter(list_transform(authors, lambda a: {strip_sql('a')}), lambda a: a <> ''))::BIGINT AS authors FROM (SELECT DISTINCT identifier, oai_datestamp, language, resource_type, identifiers, authors FROM remote_record)""")
+ coalesce(list_filter(w, lambda i: contains(i, 'script=sci_arttext'))[1], list_filter(w, lambda i: contains(lower(i), 'scielo'))[1], w[1]) AS address, list_filter(w, lambda i: regexp_matches(lower(i), '\\.pdf($|\\?)') OR contains(i, 'script=sci_pdf'))[1] AS pdf,
+ len(list_filter(list_transform(authors, lambda a: {strip_sql('a')}), lambda a: a <> ''))::BIGINT AS authors FROM (SELECT DISTINCT identifier, oai_datestamp, language, resource_type, list_filter(list_transform(identifiers, lambda i: {strip_sql('i')}), lambda i: regexp_matches(i, '^https?://')) AS w, authors FROM remote_record)""")
 def record_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "remote_record").select("identifier", "oai_datestamp", "language", "resource_type", "identifiers", "authors").distinct()
     authors = F.when(F.col("authors").isNotNull(), F.size(F.filter(F.transform("authors", T.strip), lambda a: a != "")).cast("long"))
@@ -429,17 +437,6 @@ def record_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT document_id, CASE WHEN contains(lower(title), 'código penal') THEN 'derecho' WHEN contains(lower(title), 'base de datos') THEN 'informatica' WHEN contains(lower(title), 'novela') THEN 'literatura' END AS work
- FROM (SELECT document_id, max_by(title, updated_at) AS title FROM document GROUP BY document_id)""")
-def known_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles that contain a key of an ordered list; the first key found holds."""
-    rows = table(spark, sf_dir, "document").groupBy("document_id").agg(F.max_by("title", "updated_at").alias("title"))
-    work = F.lit(None).cast("string")
-    for key, value in (("código penal", "derecho"), ("base de datos", "informatica"), ("novela", "literatura")):
-        work = F.coalesce(work, F.when(F.contains(F.lower("title"), F.lit(key)), value))
-    return rows.select("document_id", work.alias("work"))
-
-
 @query("""WITH a AS (SELECT document_id, editorial_score, approved FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY audit_id DESC, corpus_version DESC) AS rn FROM editorial_audit WHERE document_id IS NOT NULL) WHERE rn = 1)
 SELECT doc_id, document_id, editorial_score FROM documents JOIN a USING (document_id) WHERE approved AND editorial_score >= 80""")
 def audited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -480,33 +477,22 @@ def mapping_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 SEGMENTS = [("a", 1, 10), ("a", 1, 12), ("a", 5, 9), ("a", 13, 20), ("b", 1, 10), ("b", 12, 20), ("b", 15, 30), ("b", 21, 22)]
 
 
-@query("""SELECT * FROM (VALUES ('a', 1::BIGINT, 12::BIGINT, 0::BIGINT), ('a', 13, 20, 0), ('b', 1, 10, 0), ('b', 12, 20, 1), ('b', 21, 22, 0)) t(dump, start_page, end_page, gap_before)""")
-def segment_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recovery.selected_segments(spark.createDataFrame(SEGMENTS, "dump string, start_page long, end_page long"))
-
-
-@query("""SELECT * FROM (VALUES ('j1', '2020', '10', '2', 'N', '77', '1'), ('j1', '2020', '11', '1', 'N', '78', '1'), ('j2', '2018', '3', '4', 'S', '90', '2')) t(journal, year, volume, number, kind, issue_id, position)""")
-def issue_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("j1", "2020-10-2-N-77-1-11-1-N-78-1>>>2019-9-1"), ("j2", "2018- 3-4-S-90-2-5-1-N--3"), ("j3", None), ("j4", "")]
-    return metadata.issues(spark.createDataFrame(rows, "journal string, list string"), "journal", "list")
-
-
 # web pages and wikitext made of titles and records
 
-PAGES_SQL = """pages AS (SELECT DISTINCT identifier AS page, '<html><head><script src="/js/a.js"></script><script src="https://cdn.example/b.js"></script><meta name="citation_pdf_url" content="' || coalesce(pdf_url, '') || '"></head>' || chr(10) || '<body><style>p {}</style><h1>' || title || '</h1>' || chr(10) || '<a href="articulo.oa?id=' || regexp_extract(identifier, '[0-9]+$') || '">Leer</a> <a href="articulo.oa?id=7">Otro &amp; m&#225;s</a></body></html>' AS html FROM remote_record WHERE title IS NOT NULL AND oai_datestamp IS NOT NULL)"""
+PAGES_SQL = """pages AS (SELECT DISTINCT identifier AS page, '<html><head><script src="/js/' || coalesce(nullif(regexp_extract(identifier, '[0-9]+$'), ''), 'a') || '.js"></script><script src="https://cdn.example/b.js"></script><meta name="citation_pdf_url" content="' || coalesce(pdf_url, '') || '"></head>' || chr(10) || '<body><style>p {}</style><h1>' || title || '</h1>' || chr(10) || '<a href="articulo.oa?id=' || regexp_extract(identifier, '[0-9]+$') || '">Leer</a> <a href="articulo.oa?id=7">Otro &amp; m&#225;s</a></body></html>' AS html FROM remote_record WHERE title IS NOT NULL AND oai_datestamp IS NOT NULL)"""
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "remote_record").where("title is not null and oai_datestamp is not null")
     html = F.concat(
-        F.lit('<html><head><script src="/js/a.js"></script><script src="https://cdn.example/b.js"></script><meta name="citation_pdf_url" content="'), F.coalesce("pdf_url", F.lit("")), F.lit('"></head>\n<body><style>p {}</style><h1>'), F.col("title"),
+        F.lit('<html><head><script src="/js/'), F.coalesce(F.nullif(F.regexp_extract("identifier", "[0-9]+$", 0), F.lit("")), F.lit("a")), F.lit('.js"></script><script src="https://cdn.example/b.js"></script><meta name="citation_pdf_url" content="'), F.coalesce("pdf_url", F.lit("")), F.lit('"></head>\n<body><style>p {}</style><h1>'), F.col("title"),
         F.lit('</h1>\n<a href="articulo.oa?id='), F.regexp_extract("identifier", "[0-9]+$", 0), F.lit('">Leer</a> <a href="articulo.oa?id=7">Otro &amp; m&#225;s</a></body></html>'),
     )
     return r.select(F.col("identifier").alias("page"), html.alias("html")).distinct()
 
 
 @query("WITH " + PAGES_SQL + """ SELECT page, html AS h, list_sort(list_distinct(regexp_extract_all(html, 'articulo\\.oa\\?id=([0-9]+)', 1)))[1] AS first_id, len(list_distinct(regexp_extract_all(html, 'articulo\\.oa\\?id=([0-9]+)', 1)))::BIGINT AS ids,
- nullif(regexp_extract(html, 'content="([^"]*)"', 1), '') AS citation, nullif(regexp_extract(html, 'https?://[^\\s"''<>]+\\.pdf'), '') AS pdf, 'https://x.example/js/a.js' AS scripts FROM pages""".replace("html AS h, ", ""))
+ nullif(regexp_extract(html, 'content="([^"]*)"', 1), '') AS citation, nullif(regexp_extract(html, 'https?://[^\\s"''<>]+\\.pdf'), '') AS pdf, 'https://x.example/js/' || coalesce(nullif(regexp_extract(page, '[0-9]+$'), ''), 'a') || '.js' AS scripts FROM pages""".replace("html AS h, ", ""))
 def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = F.col("html")
     return _pages(spark, sf_dir).select(
@@ -520,38 +506,6 @@ def html_keyword_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metadata.keyword_lines(_pages(spark, sf_dir), "page", "html", ["leer", "CITATION"])
 
 
-@query(None)
-def html_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pages(spark, sf_dir).select("page", metadata.visible_text(F.col("html")).alias("text"))
-
-
-WIKI_SQL = """wiki AS (SELECT doc_id, '{{fecha|' || (doc_id % 33) || '|marzo|2005}}' || chr(10) || '{{Ficha|a=b}} ''''''' || substr(text, 1, 80) || ''''''' <ref>nota</ref>' || chr(10) || '[[Categoría:México]] [[categoria:Ciencia|x]] [[Categoría:México]] [[Sol|sol]]' || chr(10) || '== Título ==' || chr(10) || '{| t {| u |} v |}' || chr(10) || text AS wikitext FROM documents)"""
-
-
-def _wiki(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.concat(F.lit("{{fecha|"), (F.col("doc_id") % 33).cast("string"), F.lit("|marzo|2005}}\n{{Ficha|a=b}} '''"), F.substring("text", 1, 80), F.lit("''' <ref>nota</ref>\n"))
-    rest = F.lit("[[Categoría:México]] [[categoria:Ciencia|x]] [[Categoría:México]] [[Sol|sol]]\n== Título ==\n{| t {| u |} v |}\n")
-    return spread(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", F.concat(head, rest, "text").alias("wikitext"))
-
-
-@query("WITH " + WIKI_SQL + """ SELECT doc_id, 'Ciencia,México' AS categories, 'MX' AS countries, CASE WHEN doc_id % 33 BETWEEN 1 AND 31 THEN printf('2005-03-%02d', (doc_id % 33)::INT) END AS published FROM wiki""")
-def wiki_categories_and_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = wikitext.categories(F.col("wikitext"))
-    return _wiki(spark, sf_dir).select("doc_id", F.array_join(names, ",").alias("categories"), F.array_join(wikitext.countries(names), ",").alias("countries"), wikitext.publication_date(F.col("wikitext")).alias("published"))
-
-
-@query("WITH " + WIKI_SQL + """ SELECT doc_id, len(regexp_extract_all(wikitext, '\\{\\{'))::BIGINT AS templates, len(regexp_extract_all(wikitext, '\\{\\|'))::BIGINT AS tables, len(regexp_extract_all(wikitext, '(?i)<ref[\\s>/]'))::BIGINT AS refs,
- len(regexp_extract_all(wikitext, '\\[\\['))::BIGINT AS internal_links, len(regexp_extract_all(wikitext, '(?m)^={2,6}[^=\\n]'))::BIGINT AS headings FROM wiki""")
-def wiki_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = wikitext.features(F.col("wikitext"))
-    return _wiki(spark, sf_dir).select("doc_id", f["templates"].alias("templates"), f["tables"].alias("tables"), f["references"].alias("refs"), f["internal_links"].alias("internal_links"), f["headings"].alias("headings"))
-
-
-@query(None)
-def wikitext_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _wiki(spark, sf_dir).select("doc_id", wikitext.cleaned("wikitext").alias("c")).select("doc_id", "c.*")
-
-
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

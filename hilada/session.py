@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -11,6 +15,33 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     return builder.config("spark.ui.enabled", "false").config("spark.sql.adaptive.enabled", "true").config("spark.driver.memory", "8g").getOrCreate()
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share, below spark.checkpoint.dir; a local one only where all runs on this machine."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        where = f"file://{tempfile.mkdtemp(prefix='hilada-')}"
+        spark.conf.set("spark.checkpoint.dir", where)
+    return f"{where}/hilada-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: computed once, however often it is read, and safe if executors are lost."""
+    spark, path = df.sparkSession, scratch(df.sparkSession)
+    df.write.parquet(path)
+    atexit.register(_removed, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session has ended
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -31,7 +31,8 @@ def text_files(spark: SparkSession, directory: str, extensions: tuple[str, ...]
     """Rows (path, length, sha256, text) of the files below a directory with one of the extensions, in any case."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
     suffix = F.lower(F.regexp_extract("path", "(\\.[^./]+)$", 1))
-    return files.where(suffix.isin(*(e.lower() for e in extensions))).select("path", "length", F.sha2("content", 256).alias("sha256"), decoded("content").alias("text"))
+    files = files.where(suffix.isin(*(e.lower() for e in extensions)))
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"), decoded("content").alias("text"))
 
 
 def pdf_downloads(files: DataFrame, most: int = 50 * 1024 * 1024) -> DataFrame:
@@ -60,6 +61,23 @@ def csv_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return df.select(*columns)
 
 
+def profile_files(paths: list[str]) -> dict[str, dict]:
+    """Profiles of quality from YAML files, by their codes, in the form of operators.quality.PROFILES."""
+    import yaml
+
+    out = {}
+    for path in paths:
+        with open(path, encoding="utf-8") as file:
+            read = yaml.safe_load(file) or {}
+        rules = read.get("rules") or {}
+        held = {
+            "thresholds": read.get("thresholds") or {}, "disabled": rules.get("disabled_anomalies") or [], "severities": rules.get("severity_overrides") or {},
+            "penalties": ((read.get("editorial_scoring") or {}).get("penalties") or {}) | (rules.get("penalty_overrides") or {}),
+        }
+        out[read["profile"]["code"]] = {k: v for k, v in held.items() if v}
+    return out
+
+
 #: Readers by extension; more can be registered.
 READERS = {".txt": text_files}
 

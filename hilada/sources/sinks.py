@@ -19,10 +19,10 @@ def append_audits(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_reports(df: DataFrame, path: str, key: str = "document_id") -> None:
-    """One JSON line for each row, in directories of its key's hash."""
-    rows = df.select(F.to_json(F.struct("*")).alias("value"))
-    rows.write.mode("overwrite").text(path)
+def write_reports(df: DataFrame, path: str, key: str = "document_id", directories: int = 64) -> None:
+    """A JSON report for each row, in directories by the hash of its key, so that one report is found without the others."""
+    rows = df.select(F.pmod(F.xxhash64(key), F.lit(directories)).alias("part"), F.to_json(F.struct("*")).alias("value"))
+    rows.repartition("part").write.mode("overwrite").partitionBy("part").text(path)
 
 
 def frequency_rows(ranked: DataFrame) -> DataFrame:
@@ -62,3 +62,12 @@ def replace_checked(df: DataFrame, path: str, rows: int | None = None, keys: tup
 
 def upsert(spark, path: str, incoming: DataFrame, key: str, kept: tuple[str, ...] = ()) -> str:
     return replace_checked(corpus.upserted(spark.read.parquet(path), incoming, key, kept), path + "-next", keys=(key,))
+
+
+def write_both_orders(vocabulary: DataFrame, path: str) -> None:
+    """A vocabulary as two CSV tables, by frequency and by the alphabet, from one computation of its rows."""
+    spark = vocabulary.sparkSession
+    vocabulary.write.mode("overwrite").parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    write_csv(rows, f"{path}/by_frequency", "ranking")
+    write_csv(rows, f"{path}/alphabetical", "word")
