@@ -295,6 +295,16 @@ def test_size_makes_no_difference(spark, size):
     assert got == {0, 1, 2, 3}
 
 
+def test_a_number_like_a_code_in_one_list_says_nothing_of_others(spark, tmp_path):
+    names = ["La propuesta", "El camino", "La memoria", "El grupo", "La opinión", "El invierno", "La jornada", "El mercado", "La rima", "El puente"]
+    lists = ["\n".join(f"- {names[(k + i) % 10]} ({7000 + 10 * k + i if i else 404})" for i in (0, 1, 3, 4, 8)) for k in range(10)]
+    messages = ["Error 404: la página no existe.", "La opinión.\n" * 4, "El servidor no respondió y la página no existe. Pulse aquí."]
+    docs = documents(spark, [*lists, *messages, PROSE])
+    assert {r.doc_id for r in residue.residue(docs).collect()} == {10, 11, 12}
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in queries.p5_found(spark, str(tmp_path)).collect()} == set(range(10))
+
+
 def test_kept_documents_by_a_stated_rule(spark):
     texts = [*(f"Entrada {n}\n\nBla bla bla." for n in "abc"), "Autor: {x}", PROSE, None, ""]
     kept = residue.without_residue(documents(spark, texts))
